@@ -7,6 +7,7 @@ pay for the map look-up and for reading the words before them.
 from __future__ import annotations
 
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,14 +28,6 @@ def _constant_map(values: dict[str, float]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
-def _either(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _add(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
-
-
 def word_valences(words: Column, capitals: Column | None = None) -> Column:
     """One adjusted valence per word, 0.0 for words outside the lexicon.
 
@@ -47,15 +40,16 @@ def word_valences(words: Column, capitals: Column | None = None) -> Column:
 
     def at(words_: Column, i: Column, contrast: Column) -> Column:
         before = [F.get(words_, i - d) for d in (1, 2, 3)]
-        shift = _add(
+        shift = reduce(
+            add,
             [
                 F.when(b.isin(*rules.DEGREE_SHIFT), F.try_element_at(shift_of, b) * decay).otherwise(0.0)
                 for b, decay in zip(before, rules.DEGREE_DECAY)
-            ]
+            ],
         )
         if capitals is not None:
             shift = shift + F.when(F.get(capitals, i), F.lit(rules.CAPITALS_STEP)).otherwise(0.0)
-        turned = F.coalesce(_either([F.coalesce(b.isin(*rules.NEGATORS), F.lit(False)) for b in before]), F.lit(False))
+        turned = reduce(or_, [F.coalesce(b.isin(*rules.NEGATORS), F.lit(False)) for b in before])
         own = F.try_element_at(valence_of, F.get(words_, i))
         return (
             bind(own, lambda v: v + F.signum(v) * shift)
@@ -170,7 +164,7 @@ def polarity_parts(text: Column) -> Column:
             degree = F.when(
                 before[0].isin(*rules.DEGREE_FACTOR), F.try_element_at(factor_of, before[0])
             ).otherwise(1.0)
-            turned = _either([F.coalesce(b.isin(*rules.NEGATORS), F.lit(False)) for b in before])
+            turned = reduce(or_, [F.coalesce(b.isin(*rules.NEGATORS), F.lit(False)) for b in before])
             scaled = F.try_element_at(polarity_of, w) * degree
             bounded = F.least(F.greatest(scaled, F.lit(-1.0)), F.lit(1.0))
             return F.when(

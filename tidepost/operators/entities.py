@@ -17,7 +17,8 @@ TIE = "It's a Tie"
 
 
 def tag_entities(df: DataFrame, entities, text: str = "text", literal: bool = True) -> DataFrame:
-    """One row per post and entity found in it, from a single scan."""
+    """One row per post and entity found in it, from a single scan. Tag before scoring, so that
+    only posts that name an entity are scored."""
     found = F.array_compact(
         F.array(*[F.when(matches(F.col(text), e, literal), F.lit(e)) for e in entities])
     )

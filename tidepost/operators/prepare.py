@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepost import rules
 from tidepost.functions import labels, lexicon, text as tx, times
+from tidepost.functions.binding import bind
 from tidepost.sources.tables import engagement
 
 PREPARED_COLUMNS = (
@@ -96,43 +97,42 @@ def score_with(df: DataFrame, scorer: Callable, text: str = "text", score: str =
     return df.mapInPandas(run, schema)
 
 
-def with_engines(df: DataFrame, text: str = "clean_text") -> DataFrame:
-    """``engines``: one struct per lexicon engine, with the details each of them reports."""
+def engines_of(text: Column) -> Column:
+    """Array with one struct per lexicon engine: name, score, label and what else it reports."""
 
-    def engine(name: str, score, details: list):
+    def engine(name: str, score: Column, details: dict[str, Column]) -> Column:
         return F.struct(
             F.lit(name).alias("engine"),
             score.alias("score"),
             labels.classify(score).alias("label"),
             F.map_from_arrays(
-                F.array(*[F.lit(k) for k, _ in details]),
-                F.array(*[v.cast("string") for _, v in details]),
+                F.array(*[F.lit(k) for k in details]),
+                F.array(*[v.cast("string") for v in details.values()]),
             ).alias("details"),
         )
 
-    parts = df.withColumn("_v", lexicon.valence_shares(F.col(text))).withColumn(
-        "_p", lexicon.polarity_parts(F.col(text))
+    def both(v: Column, p: Column) -> Column:
+        shares = {k: v[k] for k in ("compound", "positive", "neutral", "negative")}
+        parts = {k: p[k] for k in ("polarity", "subjectivity")}
+        return F.array(engine("valence", v["compound"], shares), engine("polarity", p["polarity"], parts))
+
+    return bind(
+        lexicon.valence_shares(text),
+        lambda v: bind(lexicon.polarity_parts(text), lambda p: both(v, p)),
     )
-    v, p = F.col("_v"), F.col("_p")
-    return parts.withColumn(
-        "engines",
-        F.array(
-            engine(
-                "valence",
-                v["compound"],
-                [(k, v[k]) for k in ("compound", "positive", "neutral", "negative")],
-            ),
-            engine(
-                "polarity",
-                p["polarity"],
-                [(k, p[k]) for k in ("polarity", "subjectivity")],
-            ),
-        ),
-    ).drop("_v", "_p")
-
-
-def engines_long(df: DataFrame, key: str = "post_id") -> DataFrame:
-    return df.select(key, F.inline("engines"))
+
+
+def with_engines(df: DataFrame, text: str = "clean_text") -> DataFrame:
+    return df.withColumn("engines", engines_of(F.col(text)))
+
+
+def engines_long(df: DataFrame, key: str = "post_id", text: str = "clean_text") -> DataFrame:
+    """One row per post and engine.
+
+    The array is built inside the generator: from a column of an earlier step Spark would
+    derive a not-empty filter and evaluate the scores a second and third time for it.
+    """
+    return df.select(key, F.inline(engines_of(F.col(text))))
 
 
 def with_consensus(df: DataFrame) -> DataFrame:
@@ -146,6 +146,16 @@ def with_consensus(df: DataFrame) -> DataFrame:
     )
 
 
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter on a column that was expensive to compute in the same plan.
+
+    ``filter`` would be pushed below that column and compute it once for the test and once
+    more for the output. For stored columns use ``filter``, which reaches the scan.
+    """
+    kept = F.when(condition, F.array(F.lit(True)))
+    return df.select("*", F.explode(kept).alias("_kept")).drop("_kept")
+
+
 def consensus_of_rows(results: DataFrame, key: str = "post_id") -> DataFrame:
     """The same over long engine results that come from different jobs."""
     return (

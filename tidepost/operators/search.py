@@ -19,8 +19,12 @@ CARDS = 20
 FEED = 10
 
 
+def has_sentiment(wanted, label: str = "sentiment_label") -> Column:
+    return F.lower(label).isin(*[w.lower() for w in wanted])
+
+
 def filter_sentiment(df: DataFrame, wanted, label: str = "sentiment_label") -> DataFrame:
-    return df.filter(F.lower(label).isin(*[w.lower() for w in wanted]))
+    return df.filter(has_sentiment(wanted, label))
 
 
 def filter_keyword(df: DataFrame, keyword: str | None, text: str = "text", literal: bool = False) -> DataFrame:

@@ -35,10 +35,11 @@ def histogram(
     width = (high - low) / bins
     slot = F.floor((F.col(score) - low) / width).cast("int")
     bounded = F.greatest(F.least(slot, F.lit(bins - 1)), F.lit(0))
+    # posts without a score count 0; a test on the count is not pushed below the score
     return (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(*by, bounded.alias("bin"))
-        .agg(F.count("*").alias("n"))
+        df.groupBy(*by, F.when(slot.isNotNull(), bounded).alias("bin"))
+        .agg(F.count(score).alias("n"))
+        .filter(F.col("n") > 0)
         .withColumn("bin_start", F.round(F.lit(low) + F.col("bin") * width, 6))
     )
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepost import rules
+from tidepost.functions.binding import bind
 from tidepost.functions.lexicon import lexicon_words
 from tidepost.functions.text import letter_words, phrases
 
@@ -19,10 +20,17 @@ def _is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def keywords_exploded(df: DataFrame, *keep: str, text: str = "text", stop_words=rules.STOP_WORDS) -> DataFrame:
-    """One row per keyword occurrence; only ``keep`` columns travel along."""
-    out = df.select(*keep, F.explode(letter_words(F.col(text))).alias("word"))
-    return drop_stop_words(out, stop_words)
+def keywords_exploded(
+    df: DataFrame, *keep: str, text: str = "text", stop_words=rules.STOP_WORDS, where: Column | None = None
+) -> DataFrame:
+    """One row per keyword occurrence; only ``keep`` columns travel along.
+
+    ``where`` picks posts inside the generator, so that a computed label is computed once
+    (a filter in front would be pushed below it and compute it again).
+    """
+    found = letter_words(F.col(text))
+    found = found if where is None else F.when(where, found)
+    return drop_stop_words(df.select(*keep, F.explode(found).alias("word")), stop_words)
 
 
 def drop_stop_words(df: DataFrame, stop_words=rules.STOP_WORDS, word: str = "word") -> DataFrame:
@@ -33,12 +41,13 @@ def drop_stop_words(df: DataFrame, stop_words=rules.STOP_WORDS, word: str = "wor
     return df.join(F.broadcast(stops) if _is_small(stops) else stops, word, "left_anti")
 
 
-def word_counts(df: DataFrame, *by: str, text: str = "text") -> DataFrame:
-    return keywords_exploded(df, *by, text=text).groupBy(*by, "word").agg(F.count("*").alias("n"))
+def word_counts(df: DataFrame, *by: str, text: str = "text", where: Column | None = None) -> DataFrame:
+    found = keywords_exploded(df, *by, text=text, where=where)
+    return found.groupBy(*by, "word").agg(F.count("*").alias("n"))
 
 
-def top_keywords(df: DataFrame, n: int = 20, text: str = "text") -> DataFrame:
-    return word_counts(df, text=text).orderBy(F.desc("n"), "word").limit(n)
+def top_keywords(df: DataFrame, n: int = 20, text: str = "text", where: Column | None = None) -> DataFrame:
+    return word_counts(df, text=text, where=where).orderBy(F.desc("n"), "word").limit(n)
 
 
 def keywords_by_sentiment(
@@ -49,12 +58,10 @@ def keywords_by_sentiment(
     ``row_number() <= n`` right above the window lets Spark cut each map task's output to n
     words per label before the shuffle, so no label's whole vocabulary meets in one task.
     """
-    wanted = df.filter(F.lower(label).isin("positive", "negative")).withColumn(
-        label, F.initcap(label)
-    )
+    wanted = F.lower(label).isin("positive", "negative")
     w = W.partitionBy(label).orderBy(F.desc("n"), F.col("word"))
     return (
-        word_counts(wanted, label, text=text)
+        word_counts(df, label, text=text, where=wanted)
         .withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= n)
     )
@@ -65,8 +72,8 @@ def cloud_frequencies(
     label: str = "sentiment_label",
 ) -> DataFrame:
     """Word-cloud input: the top words with their weight relative to the most frequent one."""
-    chosen = df.filter(F.lower(label) == sentiment.lower()) if sentiment else df
-    top = top_keywords(chosen, max_words, text)
+    where = F.lower(label) == sentiment.lower() if sentiment else None
+    top = top_keywords(df, max_words, text, where)
     # the window sees at most ``max_words`` rows
     return top.withColumn("weight", F.round(F.col("n") / F.max("n").over(W.partitionBy()), 6))
 
@@ -141,15 +148,23 @@ def cooccurrence_nodes(df: DataFrame, n: int = 30, text: str = "text") -> DataFr
 def cooccurrence_edges(df: DataFrame, n: int = 30, text: str = "text", nodes: DataFrame | None = None) -> DataFrame:
     """Pairs of top words that share a post, with the number of posts; weight above 1.
 
-    The top list (n words) enters as a scalar subquery, so each post is cut down to it inside
-    its own row: at most n(n-1)/2 pairs per post, folded in the map task before the shuffle.
+    The top list (n words, read once) enters as a constant, so each post is cut down to it
+    inside its own row: at most n(n-1)/2 pairs per post, folded in the map task before the
+    shuffle.
     """
     nodes = cooccurrence_nodes(df, n, text) if nodes is None else nodes
-    top = nodes.agg(F.collect_list("word")).scalar()
-    present = df.select(
-        F.sort_array(F.array_intersect(letter_words(F.col(text)), top)).alias("ws")
-    ).filter(F.size("ws") > 1)
-    pairs = present.select("ws", F.posexplode("ws").alias("i", "w1")).select(
-        "w1", F.explode(F.slice("ws", F.col("i") + 2, F.lit(n))).alias("w2")
+    top = F.array(*[F.lit(r["word"]) for r in nodes.select("word").collect()]).cast("array<string>")
+
+    def pairs(ws: Column) -> Column:
+        def with_later(w1: Column, i: Column) -> Column:
+            return F.transform(F.slice(ws, i + 2, F.size(ws)), lambda w2: F.struct(w1.alias("w1"), w2.alias("w2")))
+
+        return F.flatten(F.transform(ws, with_later))
+
+    present = F.sort_array(F.array_intersect(letter_words(F.col(text)), top))
+    return (
+        df.select(F.inline(bind(present, pairs)))
+        .groupBy("w1", "w2")
+        .agg(F.count("*").alias("weight"))
+        .filter(F.col("weight") > 1)
     )
-    return pairs.groupBy("w1", "w2").agg(F.count("*").alias("weight")).filter(F.col("weight") > 1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepost import rules
 from tidepost.functions import text as tx
-from tidepost.operators import entities, evaluation, rolling, search, summaries, words
+from tidepost.operators import entities, evaluation, prepare, rolling, search, summaries, words
 from tidepost.plans import sql as q
 from tidepost.plans.registry import SECOND_SQL, Given, query, second
 
@@ -257,12 +257,15 @@ def doc_frequency(g: Given):
     return words.document_frequency(g.documents)
 
 
+PHRASE_BREAK = r"\||\n|\b(?:" + "|".join(rules.STOP_WORDS) + r")\b"
+
+
 @query(
     "trending_phrases",
     f"""SELECT phrase, n, '#' || replace(phrase, ' ', '') AS tag FROM
         (SELECT phrase, count(*) AS n FROM
           (SELECT trim(regexp_replace(part, '\\s+', ' ', 'g')) AS phrase FROM
-            (SELECT unnest(string_split_regex(regexp_replace(lower(text), {q.quoted(tx.PHRASE_MARK)}, '|', 'g'), {q.quoted(tx.PHRASE_BREAK)})) AS part FROM documents))
+            (SELECT unnest(string_split_regex(regexp_replace(lower(text), '[^a-z\\s]+', '|', 'g'), {q.quoted(PHRASE_BREAK)})) AS part FROM documents))
          WHERE len(phrase) >= {tx.MIN_PHRASE_LENGTH} GROUP BY phrase ORDER BY n DESC, phrase LIMIT 6)""",
 )
 def trending_phrases(g: Given):
@@ -335,6 +338,10 @@ def _tagged_sql(entity: str) -> str:
     return f"""SELECT s.*, '{entity}' AS entity FROM scored s WHERE contains(lower(text), '{entity.lower()}')"""
 
 
+def _named(g: Given, names):
+    return prepare.score_sentiment(entities.tag_entities(g.prepared, names))
+
+
 BOTH_SQL = " UNION ALL ".join(_tagged_sql(e) for e in PAIR)
 
 
@@ -346,7 +353,7 @@ BOTH_SQL = " UNION ALL ".join(_tagged_sql(e) for e in PAIR)
 )
 def entity_union(g: Given):
     """The newest fifty posts of either side; a post that names both is there twice."""
-    newest = entities.latest_per_entity(entities.tag_entities(g.scored, ["technology", "report"]))
+    newest = entities.latest_per_entity(_named(g, ["technology", "report"]))
     return newest.select("post_id", "entity", "sentiment_score", "sentiment_label")
 
 
@@ -359,7 +366,7 @@ COMPARE_SQL = f"""SELECT e.entity, count(post_id) AS volume, round(coalesce(avg(
 @query("entity_compare", COMPARE_SQL)
 def entity_compare(g: Given):
     named = [*PAIR, "no such name"]
-    return entities.entity_compare(entities.tag_entities(g.scored, named), named)
+    return entities.entity_compare(_named(g, named), named)
 
 
 @query(
@@ -371,7 +378,7 @@ def entity_compare(g: Given):
               FROM ({COMPARE_SQL}))""",
 )
 def entity_winner(g: Given):
-    compared = entities.entity_compare(entities.tag_entities(g.scored, PAIR), PAIR)
+    compared = entities.entity_compare(_named(g, PAIR), PAIR)
     return entities.entity_winner(compared, *PAIR)
 
 
@@ -381,7 +388,7 @@ def entity_winner(g: Given):
         FROM (SELECT entity, {_bins(20)} FROM ({BOTH_SQL})) GROUP BY ALL""",
 )
 def entity_histogram(g: Given):
-    return entities.entity_histogram(entities.tag_entities(g.scored, PAIR))
+    return entities.entity_histogram(_named(g, PAIR))
 
 
 # ----- agreement of the valence engine with the dataset labels -------------------------------

@@ -258,7 +258,8 @@ def map_score(g: Given):
     "SELECT post_id, sentiment_label FROM scored WHERE lower(sentiment_label) IN ('positive', 'neutral')",
 )
 def filter_sentiment(g: Given):
-    return search.filter_sentiment(g.scored, ["POSITIVE", "neutral"]).select("post_id", "sentiment_label")
+    kept = prepare.keep_where(g.scored, search.has_sentiment(["POSITIVE", "neutral"]))
+    return kept.select("post_id", "sentiment_label")
 
 
 @query("search_keyword", "SELECT post_id, text FROM posts WHERE regexp_matches(text, '(?i)wast.|excite')")
@@ -388,7 +389,7 @@ ENGINES_SQL = f"""SELECT id AS post_id, 'valence' AS engine, compound AS score,
 
 @query("multi_engine_scores", ENGINES_SQL)
 def multi_engine_scores(g: Given):
-    return prepare.engines_long(prepare.with_engines(g.prepared)).drop("details")
+    return prepare.engines_long(g.prepared).drop("details")
 
 
 @query(

@@ -10,6 +10,7 @@ from tidepost.functions.labels import classify
 from tidepost.functions.lexicon import raw_valence_score
 from tidepost.functions.text import excerpt
 from tidepost.operators.entities import tag_entities
+from tidepost.operators.prepare import keep_where
 from tidepost.sources.tables import posts_from_events
 
 # Refresh rates of the two live views, rows of an intake and length of an excerpt.
@@ -43,7 +44,7 @@ def score_live(df: DataFrame, text: str = "text") -> DataFrame:
 def alerts(scored: DataFrame, level: float = rules.ALERT_LEVEL, text: str = "text") -> DataFrame:
     """Posts with extreme scores, with a short excerpt of the text."""
     s = F.col("sentiment_score")
-    return scored.filter((s >= level) | (s <= -level)).select(
+    return keep_where(scored, (s >= level) | (s <= -level)).select(
         "*",
         F.when(s > 0, "High Positive").otherwise("High Negative").alias("alert"),
         excerpt(F.col(text), ALERT_EXCERPT, "...").alias("excerpt"),
