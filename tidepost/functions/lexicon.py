@@ -25,7 +25,14 @@ def lexicon_words(text: Column, keep_case: bool = False) -> Column:
 
 
 def _constant_map(values: dict[str, float]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    """Word -> number, folded into one literal when the plan is optimised."""
+    pairs = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in values.items())), F.lit(","), F.lit(":"))
+    return pairs.cast("map<string,double>")
+
+
+def _is_one_of(word: Column, few: tuple[str, ...]) -> Column:
+    """Membership in a short constant list; null is no member."""
+    return F.coalesce(F.array_contains(F.split(F.lit(" ".join(few)), " "), word), F.lit(False))
 
 
 def word_valences(words: Column, capitals: Column | None = None) -> Column:
@@ -43,13 +50,13 @@ def word_valences(words: Column, capitals: Column | None = None) -> Column:
         shift = reduce(
             add,
             [
-                F.when(b.isin(*rules.DEGREE_SHIFT), F.try_element_at(shift_of, b) * decay).otherwise(0.0)
+                F.coalesce(F.try_element_at(shift_of, b) * decay, F.lit(0.0))
                 for b, decay in zip(before, rules.DEGREE_DECAY)
             ],
         )
         if capitals is not None:
             shift = shift + F.when(F.get(capitals, i), F.lit(rules.CAPITALS_STEP)).otherwise(0.0)
-        turned = reduce(or_, [F.coalesce(b.isin(*rules.NEGATORS), F.lit(False)) for b in before])
+        turned = reduce(or_, [_is_one_of(b, rules.NEGATORS) for b in before])
         own = F.try_element_at(valence_of, F.get(words_, i))
         return (
             bind(own, lambda v: v + F.signum(v) * shift)
@@ -161,10 +168,8 @@ def polarity_parts(text: Column) -> Column:
     def read(words: Column) -> Column:
         def one(w: Column, i: Column) -> Column:
             before = [F.get(words, i - d) for d in (1, 2)]
-            degree = F.when(
-                before[0].isin(*rules.DEGREE_FACTOR), F.try_element_at(factor_of, before[0])
-            ).otherwise(1.0)
-            turned = reduce(or_, [F.coalesce(b.isin(*rules.NEGATORS), F.lit(False)) for b in before])
+            degree = F.coalesce(F.try_element_at(factor_of, before[0]), F.lit(1.0))
+            turned = reduce(or_, [_is_one_of(b, rules.NEGATORS) for b in before])
             scaled = F.try_element_at(polarity_of, w) * degree
             bounded = F.least(F.greatest(scaled, F.lit(-1.0)), F.lit(1.0))
             return F.when(
