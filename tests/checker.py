@@ -39,7 +39,10 @@ def normal_rows(columns, rows):
 
 def compare(spark, con, key, fn, sql, sf_dir):
     """(ok, message)."""
-    df = fn(spark, sf_dir)
+    return compare_rows(con, fn(spark, sf_dir), sql)
+
+
+def compare_rows(con, df, sql):
     mine = normal_rows(df.columns, df.collect())
     if sql is None:
         return True, f"{len(mine)} rows, no SQL"

@@ -11,17 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Frame length and band width.
 WINDOW_ROWS = 10
 BAND_WIDTH = 2.0
 
 SAMPLE_PER_CHUNK = 16
-MAX_CHUNKS = 2048
+MAX_CHUNKS = 8192
+# cuts per block of the two-step search
+BLOCK = 64
 
 
 def default_chunks(df: DataFrame) -> int:
-    """Twice the shuffle partitions of the session, within sensible limits."""
+    """Twice the shuffle partitions of the session, within limits."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(16, min(MAX_CHUNKS, 2 * parts))
 
@@ -31,53 +34,56 @@ def _series_name(series: Column) -> Column:
     return F.coalesce(series.cast("string"), F.lit(""))
 
 
-def cut_points(df: DataFrame, series: str, order: tuple[str, str], chunks: int) -> dict:
-    """Series name -> sorted list of (time, id) where its chunks begin.
+def cut_points(df: DataFrame, series: str, order: tuple[str, str], chunks: int) -> DataFrame:
+    """One row per sampled series: its cuts (sorted (time, id) pairs), in blocks.
 
-    The rows with the smallest id hashes are an even sample of bounded size: a series gets
-    cuts in proportion to its rows, rare series get none.
+    A random sample of about ``chunks * SAMPLE_PER_CHUNK`` rows gives every series cuts in
+    proportion to its rows; rare series get none. At most ``chunks`` cuts exist in all.
     """
     ts, key = order
-    sample = (
-        df.select(_series_name(F.col(series)).alias("s"), F.col(ts).alias("t"), F.col(key).alias("k"))
-        .orderBy(F.xxhash64("k"), "s", "t", "k")
-        .limit(chunks * SAMPLE_PER_CHUNK)
-        .collect()
-    )
-    cuts: dict = {}
-    in_order = sorted(
-        (r for r in sample if r["t"] is not None and r["k"] is not None),
-        key=lambda r: (r["s"], r["t"], r["k"]),
-    )
+    rows = df.select(_series_name(F.col(series)).alias("s"), F.col(ts).alias("t"), F.col(key).alias("k"))
+    total = df.count()
+    share = min(1.0, chunks * SAMPLE_PER_CHUNK / max(total, 1))
+    sample = rows.sample(share, seed=7).na.drop(subset=["t", "k"]).collect()
+    in_order = sorted(sample, key=lambda r: (r["s"], r["t"], r["k"]))
+    cuts: dict[str, list] = {}
     for row in in_order[SAMPLE_PER_CHUNK - 1 :: SAMPLE_PER_CHUNK]:
         cuts.setdefault(row["s"], []).append((row["t"], row["k"]))
-    return cuts
-
-
-def chunk_of(series: Column, ts: Column, key: Column, cuts: dict, types: tuple[str, str]) -> Column:
-    """Number of cuts at or before the row within its series."""
-    if not cuts:
-        return F.lit(0)
-    ts_type, key_type = types
+    cut = T.StructType([T.StructField("t", rows.schema["t"].dataType), T.StructField("k", rows.schema["k"].dataType)])
+    schema = T.StructType(
+        [
+            T.StructField("_name", T.StringType()),
+            T.StructField("_firsts", T.ArrayType(cut)),
+            T.StructField("_blocks", T.ArrayType(T.ArrayType(cut))),
+        ]
+    )
+    listed = [
+        (name, points[::BLOCK], [points[i : i + BLOCK] for i in range(0, len(points), BLOCK)])
+        for name, points in cuts.items()
+    ]
+    return df.sparkSession.createDataFrame(listed, schema)
 
-    def begin(t, k) -> Column:
-        return F.struct(F.lit(t).cast(ts_type).alias("t"), F.lit(k).cast(key_type).alias("k"))
 
-    begins = F.create_map(
-        *[x for name, points in cuts.items() for x in (F.lit(name), F.array(*[begin(*p) for p in points]))]
-    )
-    here = F.struct(ts.alias("t"), key.alias("k"))
-    passed = F.filter(F.try_element_at(begins, _series_name(series)), lambda b: b <= here)
-    return F.coalesce(F.size(passed), F.lit(0))
+def _passed(cuts: Column, here: Column) -> Column:
+    return F.size(F.filter(cuts, lambda c: c <= here))
 
 
 def _chunked(df: DataFrame, series: str, order: tuple[str, str], chunks: int | None) -> DataFrame:
-    ts, key = order
+    """Adds ``_chunk``: the number of cuts at or before the row within its series."""
     chunks = default_chunks(df) if chunks is None else chunks
-    cuts = cut_points(df, series, order, chunks) if chunks > 1 else {}
-    kinds = dict(df.dtypes)
-    return df.withColumn(
-        "_chunk", chunk_of(F.col(series), F.col(ts), F.col(key), cuts, (kinds[ts], kinds[key]))
+    if chunks <= 1:
+        return df.withColumn("_chunk", F.lit(0))
+    # broadcast: at most ``chunks`` (time, id) pairs, see cut_points
+    cuts = F.broadcast(cut_points(df, series, order, chunks))
+    here = F.struct(F.col(order[0]).alias("t"), F.col(order[1]).alias("k"))
+    block = _passed(F.col("_firsts"), here)
+    inside = F.coalesce(_passed(F.get("_blocks", F.col("_block") - 1), here), F.lit(0))
+    return (
+        df.withColumn("_name", _series_name(F.col(series)))
+        .join(cuts, "_name", "left")
+        .withColumn("_block", F.coalesce(block, F.lit(0)))
+        .withColumn("_chunk", F.greatest((F.col("_block") - 1) * BLOCK, F.lit(0)) + inside)
+        .select(*df.columns, "_chunk")
     )
 
 

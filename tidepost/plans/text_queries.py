@@ -44,9 +44,9 @@ def second_of(ts):
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("timestamp")
 
 
-@query("scan_limit", 'SELECT post_id, text FROM posts ORDER BY post_id LIMIT 5000')
+@query("scan_limit", 'SELECT post_id, text FROM posts ORDER BY post_id LIMIT 1000')
 def scan_limit(g: Given):
-    return files.first_rows(g.posts.select("post_id", "text"), 5000, "post_id")
+    return files.first_rows(g.posts.select("post_id", "text"), 1000, "post_id")
 
 
 @query(

@@ -19,9 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    own = tempfile.mkdtemp(prefix="tidepost-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidepost-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
