@@ -48,6 +48,13 @@ def test_repeated_posts_and_empty_input(spark, tmp_path):
     assert nothing.count() == 0
 
 
+def test_many_copies_of_one_post(spark, tmp_path):
+    df = posts(spark, [(i if i % 3 else 0, "a", i, "x", 0.0) for i in range(300)])
+    land(df, tmp_path / "in")
+    kept = sinks.drain(live.deduplicated(stream(spark, tmp_path / "in"), salts=4), "t")
+    assert sorted(r["post_id"] for r in kept.collect()) == sorted({i if i % 3 else 0 for i in range(300)})
+
+
 def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     day = 86400
     checkpoint, out = str(tmp_path / "cp"), str(tmp_path / "out")

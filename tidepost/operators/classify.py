@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidepost.functions.labels import classify, model_score
+from tidepost.functions.labels import model_score
 from tidepost.functions.text import is_blank
 from tidepost.operators import evaluation
 
@@ -175,7 +175,7 @@ def train_and_evaluate(
     """Filter, split, fit, predict the held-out rows and measure them in one pass."""
     rows = train_rows(with_training_text(df), label=label)
     train, test = id_split(rows, test_ratio, split_key) if split_key else random_split(rows, test_ratio, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select("clean_text", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         began = time.monotonic()
         model, labels = fit(train, label=label, **options)
@@ -238,7 +238,3 @@ def tune(
     return df.sparkSession.createDataFrame(
         rows, "num_features int, reg_param double, max_iter int, f1 double"
     ).orderBy(F.desc("f1"), "num_features", "reg_param", "max_iter")
-
-
-def score_label(score: Column) -> Column:
-    return classify(score)

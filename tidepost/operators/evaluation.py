@@ -18,7 +18,8 @@ def confusion_matrix(counts: DataFrame, labels) -> DataFrame:
     """One row per actual label, one ``Pred_`` column per predicted label, zero-filled."""
     listed = F.explode(F.array(*[F.lit(x) for x in labels])).alias("actual")
     rows = counts.sparkSession.range(1).select(listed)
-    cells = counts.groupBy("actual").agg(
+    # only the named labels: as many rows as there are labels
+    cells = counts.filter(F.col("actual").isin(*labels)).groupBy("actual").agg(
         *[F.sum(F.when(F.col("predicted") == x, F.col("n"))).alias(f"Pred_{x}") for x in labels]
     )
     return (
@@ -53,26 +54,32 @@ def class_metrics(counts: DataFrame, labels) -> DataFrame:
 
 
 def overall_metrics(counts: DataFrame) -> DataFrame:
-    """Accuracy and support-weighted precision, recall and F over the labels that occur."""
-    by_actual = counts.groupBy(F.col("actual").alias("label")).agg(F.sum("n").alias("support"))
-    by_predicted = counts.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("said"))
-    right = counts.filter(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("label"), F.col("n").alias("tp"))
-    # at most one row per label in each of the three
+    """Accuracy and support-weighted precision, recall and F over the labels that occur.
+
+    Every cell adds to the support of its actual label and to the said count of its predicted
+    one; summing both per label needs no join.
+    """
+    n, nothing = F.col("n"), F.lit(0).cast("bigint")
+    right = F.when(F.col("actual") == F.col("predicted"), n).otherwise(nothing)
+    roles = F.array(
+        F.struct(F.col("actual").alias("label"), n.alias("support"), nothing.alias("said"), right.alias("tp")),
+        F.struct(F.col("predicted").alias("label"), nothing.alias("support"), n.alias("said"), nothing.alias("tp")),
+    )
     scored = (
-        by_actual.join(F.broadcast(by_predicted), "label", "left")
-        .join(F.broadcast(right), "label", "left")
-        .na.fill(0, ["said", "tp"])
+        counts.select(F.inline(roles))
+        .groupBy("label")
+        .agg(F.sum("support").alias("support"), F.sum("said").alias("said"), F.sum("tp").alias("tp"))
         .withColumn("p", F.coalesce(F.try_divide("tp", "said"), F.lit(0.0)))
-        .withColumn("r", F.col("tp") / F.col("support"))
+        .withColumn("r", F.coalesce(F.try_divide("tp", "support"), F.lit(0.0)))
         .withColumn("f", F.coalesce(F.try_divide(2 * F.col("p") * F.col("r"), F.col("p") + F.col("r")), F.lit(0.0)))
     )
     total = F.sum("support")
 
     def weighted(c: str, name: str):
-        return F.bround(F.sum(F.col(c) * F.col("support")) / total, 4).alias(name)
+        return F.bround(F.try_divide(F.sum(F.col(c) * F.col("support")), total), 4).alias(name)
 
     return scored.agg(
-        F.bround(F.sum("tp") / total, 4).alias("accuracy"),
+        F.bround(F.try_divide(F.sum("tp"), total), 4).alias("accuracy"),
         weighted("p", "weighted_precision"),
         weighted("r", "weighted_recall"),
         weighted("f", "weighted_f1"),
