@@ -161,9 +161,17 @@ def fit(
     train: DataFrame, num_features=NUM_FEATURES, reg_param=REG_PARAM, max_iter=MAX_ITER,
     elastic_net=ELASTIC_NET, label="sentiment_label", extra_class=False, named=False,
 ) -> tuple[PipelineModel, list[str]]:
-    """Fit; the model returned scores new posts and needs no label column."""
+    """Fit; the model returned scores new posts and needs no label column.
+
+    Document frequencies, label counts and the optimiser each read the rows, so text and
+    label are kept (memory, then disk) while fitting.
+    """
     stages = [*text_stages(num_features, named), label_stage(label, extra_class), logistic(reg_param, max_iter, elastic_net)]
-    model = Pipeline(stages=stages).fit(train)
+    kept = train.select("clean_text", label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=stages).fit(kept)
+    finally:
+        kept.unpersist()
     indexer = model.stages[-2]
     return PipelineModel(model.stages[:-2] + model.stages[-1:]), list(indexer.labels)
 
@@ -175,13 +183,9 @@ def train_and_evaluate(
     """Filter, split, fit, predict the held-out rows and measure them in one pass."""
     rows = train_rows(with_training_text(df), label=label)
     train, test = id_split(rows, test_ratio, split_key) if split_key else random_split(rows, test_ratio, seed)
-    train = train.select("clean_text", label).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        began = time.monotonic()
-        model, labels = fit(train, label=label, **options)
-        seconds = time.monotonic() - began
-    finally:
-        train.unpersist()
+    began = time.monotonic()
+    model, labels = fit(train, label=label, **options)
+    seconds = time.monotonic() - began
     predicted = predict(model, labels, test)
     counts = evaluation.confusion_counts(predicted, label, "predicted_label")
     return Trained(
@@ -223,18 +227,23 @@ def tune(
         .addGrid(lr.maxIter, list(max_iters))
         .build()
     )
-    search = TrainValidationSplit(
+    rows = train_rows(df, label=label).select("clean_text", label).persist(StorageLevel.MEMORY_AND_DISK)
+    validated = TrainValidationSplit(
         estimator=Pipeline(stages=[*text, tf, idf, label_stage(label), lr]),
         estimatorParamMaps=grid,
         evaluator=MulticlassClassificationEvaluator(metricName="f1"),
         trainRatio=train_ratio,
         seed=seed,
         parallelism=parallelism,
-    ).fit(train_rows(df, label=label))
-    rows = [
+    )
+    try:
+        metrics = validated.fit(rows).validationMetrics
+    finally:
+        rows.unpersist()
+    listed = [
         (int(g[tf.numFeatures]), float(g[lr.regParam]), int(g[lr.maxIter]), round(float(m), 4))
-        for g, m in zip(grid, search.validationMetrics)
+        for g, m in zip(grid, metrics)
     ]
     return df.sparkSession.createDataFrame(
-        rows, "num_features int, reg_param double, max_iter int, f1 double"
+        listed, "num_features int, reg_param double, max_iter int, f1 double"
     ).orderBy(F.desc("f1"), "num_features", "reg_param", "max_iter")
