@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import graph_search, languages, lines, packing, sharding
+from tidepost.llm import contamination, graph_search, languages, lines, packing, sentences, sharding
 from tidepost.llm.common import table
 
 #: Bytes of text per shard in the query; the operator's own default is 64 MiB.
@@ -47,6 +47,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return contamination.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "score")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return languages.identify(docs).select("doc_id", "held_out", "lang_pred", "score", F.to_json("lang_shares").alias("shares"))
@@ -56,15 +61,23 @@ def op9_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentences.dedup_sentences(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_language": op8_language,
     "op9_graph_search": op9_graph_search,
+    "op10_sentence_spans": op10_sentence_spans,
 }
 
 ORACLES: dict[str, str] = {
     "op1_sharding": OP1_SQL,
     "op6_line_dedup": lines.SQL,
+    "op10_sentence_spans": sentences.SQL,
 }
