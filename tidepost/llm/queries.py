@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import contamination, graph_search, languages, lines, packing, sentences, sharding
+from tidepost.llm import contamination, graph_search, languages, lines, ngram_join, packing, sentences, sharding
 from tidepost.llm.common import table
 
 #: Bytes of text per shard in the query; the operator's own default is 64 MiB.
@@ -38,6 +38,10 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, bits ORDER BY level) = 1
 """
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
@@ -68,6 +72,7 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
