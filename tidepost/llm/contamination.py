@@ -217,4 +217,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = cut(contaminated(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("th").alias("_mark")), "leaks")
     rows = docs.withColumn("_th", text_hash())
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_mark"))
-    return rows.join(found.distinct(), same, "left_anti").drop("_th")
+    return rows.join(found.distinct().hint("merge"), same, "left_anti").drop("_th")

@@ -294,7 +294,7 @@ def with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs ``a, b`` that size and sketch leave possible."""
     a = sketches.select(F.col("sid").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x"))
     b = sketches.select(F.col("sid").alias("b"), F.col("n").alias("y_n"), F.col("sketch").alias("y"))
-    joined = pairs.select("a", "b").join(a, "a").join(b, "b")
+    joined = pairs.select("a", "b").join(a.hint("merge"), "a").join(b.hint("merge"), "b")
     joined = joined.where(4 * F.least("x_n", "y_n") >= 3 * F.greatest("x_n", "y_n"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +310,7 @@ def with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``sid, shingles`` for documents ``sid, doc_id`` of ``wanted``, read from their texts."""
-    rows = docs.join(wanted.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.join(wanted.select(F.col("doc_id").alias("_id")).hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sids, sets, held = [], [], 0
@@ -342,7 +342,7 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.select("a", "b").join(a, "a").join(b, "b")
+    joined = pairs.select("a", "b").join(a.hint("merge"), "a").join(b.hint("merge"), "b")
     return map_rows(joined.select("a", "b", "x", "y"), "a bigint, b bigint", work)
 
 
@@ -437,7 +437,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     node = node.withColumn("label", F.coalesce("label", "sid"))
     smallest = node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     ids = node.join(smallest, "label").select("sid", "component_id")
-    out = rows.join(ids, "sid", "left")
+    out = rows.join(ids.hint("merge"), "sid", "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )

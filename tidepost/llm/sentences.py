@@ -99,7 +99,8 @@ def dedup_sentences(docs: DataFrame) -> DataFrame:
     docs = docs.drop("n_sentences", "n_removed")
     left = docs.withColumns({"_i": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), "_th": text_hash()})
     right = marks.select(F.col("id").alias("_id"), F.col("th").alias("_mark"), F.col("spans").alias("_spans"))
-    joined = left.join(right, (F.col("_i") == F.col("_id")) & (F.col("_th") == F.col("_mark")), "left")
+    # A merge join at every size: marks grow with the corpus and are never broadcast.
+    joined = left.join(right.hint("merge"), (F.col("_i") == F.col("_id")) & (F.col("_th") == F.col("_mark")), "left")
     joined = joined.select(*docs.columns, "_spans")
     at, names = docs.columns.index("text"), docs.columns
 
