@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import contamination, graph_search, languages, lines, ngram_join, packing, sentences, sharding, substrings
+from tidepost.llm import contamination, graph_search, languages, lines, ngram_join, packing, personal, sentences, sharding, substrings
 from tidepost.llm.common import table
 
 #: Bytes of text per shard in the query; the operator's own default is 64 MiB.
@@ -42,6 +42,10 @@ def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.cut_documents(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_suffix_array": op2_suffix_array,
+    "op3_personal": op3_personal,
     "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
