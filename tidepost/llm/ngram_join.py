@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepost.llm.common import cut, in_slices, map_rows
+from tidepost.llm.common import cut, in_slices, map_rows, text_hash
 from tidepost.llm.components import components
 from tidepost.llm.hashing import M1, WHITE_SPACE, mixed, ngrams, words_by_text
 
@@ -38,6 +38,7 @@ BLOCK_ENTRIES = 400_000
 COUNT_BYTES = 8 << 20
 FLUSH = 2_000_000
 CHUNK_ROWS = 1024
+MATRIX_COLUMNS = ["doc_id", "th", "n", "sid", "sketch", "block", "cells"]
 
 
 def least_overlap(n):
@@ -45,10 +46,10 @@ def least_overlap(n):
     return (3 * n + 3) // 4
 
 
-def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
-    """doc_id and sorted distinct shingle hashes of each document of (doc_id, text)."""
+def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """(doc_id, th) and sorted distinct shingle hashes of each document of (doc_id, text, th)."""
     for batch in batches:
-        ids = batch.column(0).to_pylist()
+        ids = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
         texts = [(t.as_py() or "").encode("utf-8", "surrogatepass").lower() for t in batch.column(1)]
         for start, end in in_slices(texts):
             words, bounds = words_by_text(texts[start:end], WHITE_SPACE)
@@ -98,21 +99,21 @@ def encode_counts(cells: np.ndarray, bits: int) -> pa.RecordBatch:
     n = len(blocks)
     none = pa.nulls(n, pa.int64())
     return pa.RecordBatch.from_arrays(
-        [none, none, none, pa.nulls(n, pa.binary()), pa.array(blocks.astype(np.int32)), pa.array(packed, pa.binary())],
-        ["doc_id", "n", "sid", "sketch", "block", "cells"],
+        [none, none, none, none, pa.nulls(n, pa.binary()), pa.array(blocks.astype(np.int32)), pa.array(packed, pa.binary())],
+        MATRIX_COLUMNS,
     )
 
 
 def matrix_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, sid, sketch`` per document, and ``block, cells``: its columns for counting."""
+    """``doc_id, th, n, sid, sketch`` per document, and ``block, cells``: its columns for counting."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(20, max(2, math.ceil(math.log2(max(1, total / COUNT_BYTES)))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, cells, held = [], [], 0
-        for doc_id, shingles in shingle_sets(batches):
+        for row, shingles in shingle_sets(batches):
             n = len(shingles)
-            rows.append((doc_id, n, set_id(shingles) if n else None, sketch(shingles) if n else None))
+            rows.append((*row, n, set_id(shingles) if n else None, sketch(shingles) if n else None))
             cells.append((shingles >> np.uint64(32)).astype(np.uint32))
             held += n
             if held > FLUSH:
@@ -124,13 +125,13 @@ def matrix_rows(docs: DataFrame) -> DataFrame:
             yield encode_counts(np.concatenate(cells), bits)
 
     def row_batch(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
         nulls = [pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())]
-        return pa.RecordBatch.from_arrays([*arrays, *nulls], ["doc_id", "n", "sid", "sketch", "block", "cells"])
+        return pa.RecordBatch.from_arrays([*arrays, *nulls], MATRIX_COLUMNS)
 
-    return map_rows(docs, "doc_id bigint, n bigint, sid bigint, sketch binary, block int, cells binary", work)
+    return map_rows(docs, "doc_id bigint, th bigint, n bigint, sid bigint, sketch binary, block int, cells binary", work)
 
 
 def frequent_cells(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -324,7 +325,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sids, sets, held = [], [], 0
         yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], ["sid", "shingles"])
 
-    found = map_rows(rows.select("doc_id", "text"), "sid bigint, shingles binary", work)
+    found = map_rows(rows.select("doc_id", "text", "th"), "sid bigint, shingles binary", work)
     return found.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.first("shingles").alias("shingles"))
 
 
@@ -396,7 +397,10 @@ def across(often: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFram
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+    """One row per document: ``doc_id, th, n_shingles, component_id, label``.
+
+    ``th`` is a hash of the text, for rows that share an id; ``label`` is the same for all rows of
+    a component, whatever their ids.
 
     Words are what ASCII white space leaves, A-Z in lower case; a set has the distinct runs of five
     words, or the whole text if it is shorter. A null or blank text has no set and no link. Equal
@@ -404,9 +408,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     a null id and no other link has a null component. Rows that repeat, or share an id, are rows
     of their own. An empty table gives no rows; other columns are not looked at.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_hash().alias("th"))
     first = cut(matrix_rows(docs), "matrix-rows")
-    rows = first.where("block IS NULL").select("doc_id", "n", "sid", "sketch")
+    rows = first.where("block IS NULL").select("doc_id", "th", "n", "sid", "sketch")
     frequent = frequent_cells(first.where("block IS NOT NULL").select("block", "cells"))
     nodes = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = cut(nodes, "nodes")
@@ -436,8 +440,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     node = nodes.select("sid", "doc_id").join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left")
     node = node.withColumn("label", F.coalesce("label", "sid"))
     smallest = node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    ids = node.join(smallest, "label").select("sid", "component_id")
+    ids = node.join(smallest, "label").select("sid", "component_id", "label")
     out = rows.join(ids.hint("merge"), "sid", "left")
     return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+        "doc_id", "th", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label",
+    )
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest id (null ids last), then the
+    smallest text hash; rows equal in both are one document. Documents without words all stay."""
+    found = cut(jaccard_components(docs), "components")
+    grouped = found.where("n_shingles > 0").groupBy("label", "doc_id", "th").agg(F.count("*").alias("copies"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "copies")
+    firsts = grouped.groupBy("label").agg(F.min(place).alias("first")).select("first.doc_id", "first.th", "first.copies")
+    blank = found.where("n_shingles = 0").select("doc_id", "th", F.lit(1).cast("bigint").alias("copies")).distinct()
+    kept = cut(firsts.unionByName(blank), "first-of-groups")
+    rows = docs.withColumn("_th", text_hash())
+    right = kept.select(F.col("doc_id").alias("_id"), F.col("th").alias("_mark")).hint("merge")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_mark"))
+    out = rows.join(right, same, "left_semi")
+    if not kept.where("copies > 1").isEmpty():
+        words = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")) > 0
+        out = out.where(words).dropDuplicates(["doc_id", "_th"]).unionByName(out.where(~words))
+    return out.drop("_th")
