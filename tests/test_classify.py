@@ -58,8 +58,10 @@ def test_named_features_extra_class_and_unknown_index(labelled):
 
 
 def test_splits(labelled):
-    train, test = classify.id_split(labelled.withColumn("post_id", F.pmod("post_id", F.lit(100))))
-    assert test.filter(F.pmod("post_id", F.lit(10)) < 8).count() == 0 and train.count() + test.count() == 1200
+    ids = labelled.sparkSession.range(4000).withColumnRenamed("id", "post_id")
+    for ratio in (0.05, 0.25, 0.35):
+        train, test = classify.id_split(ids, ratio)
+        assert train.count() + test.count() == 4000 and abs(test.count() / 4000 - ratio) < 0.03
     parts = classify.random_split(labelled, 0.2, seed=1)
     assert sum(p.count() for p in parts) == 1200
 

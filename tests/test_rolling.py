@@ -37,13 +37,13 @@ def make(sizes):
     return rows
 
 
-@pytest.mark.parametrize("chunks", [1, 16, 150])
+@pytest.mark.parametrize("chunk", [1, 20, 200, 10**9])
 @pytest.mark.parametrize("exclude", [False, True])
-def test_split_series_give_the_same_result(spark, chunks, exclude):
+def test_split_series_give_the_same_result(spark, chunk, exclude):
     # one series holds most rows; others are shorter than a frame
     rows = make({"big": 3000, "one": 1, "two": 2, "three": 3, "five": 5, "ten": 10, "eleven": 11})
     df = spark.createDataFrame(rows, DDL)
-    out = rolling.rolling_stats(df, value="value", chunks=chunks, exclude_current=exclude)
+    out = rolling.rolling_stats(df, value="value", rows_per_chunk=chunk, exclude_current=exclude)
     expected = by_hand(rows, exclude)
     got = {r["post_id"]: r for r in out.collect()}
     assert len(got) == len(rows)
@@ -63,7 +63,7 @@ def test_chunks_really_split_the_big_series(spark):
 
 def test_null_series_and_null_times_are_kept(spark):
     rows = [(i, None, None if i < 3 else i, float(i)) for i in range(40)]
-    out = rolling.rolling_stats(spark.createDataFrame(rows, DDL), value="value", chunks=16).collect()
+    out = rolling.rolling_stats(spark.createDataFrame(rows, DDL), value="value", rows_per_chunk=4).collect()
     got = {r["post_id"]: r["rolling_mean"] for r in out}
     assert len(got) == 40 and got[39] == pytest.approx(34.5) and got[2] == pytest.approx(1.0)
 

@@ -89,7 +89,8 @@ def excerpt(text: Column, length: int, mark: str = "…") -> Column:
 
 
 def joined_text(title: Column, body: Column) -> Column:
-    return F.trim(F.concat_ws(" ", title, body))
+    """Title and body, without white space of any kind at either end."""
+    return F.regexp_replace(F.concat_ws(" ", title, body), r"(?U)^\s+|\s+$", "")
 
 
 def proper_label(label: Column) -> Column:

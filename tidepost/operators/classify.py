@@ -13,7 +13,6 @@ from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
     HashingTF,
-    IndexToString,
     StopWordsRemover,
     StringIndexer,
     Tokenizer,
@@ -37,6 +36,7 @@ TEST_RATIO = 0.2
 SEED = 42
 MIN_DOC_FREQ = 3
 TOP_FEATURES = 20
+SPLIT_PARTS = 1_000_000
 
 
 @dataclass
@@ -51,6 +51,8 @@ class Trained:
     feature_weights: DataFrame
     predictions: DataFrame
     train_seconds: float
+    train_count: int
+    settings: dict
 
 
 def train_rows(df: DataFrame, text: str = "clean_text", label: str = "sentiment_label") -> DataFrame:
@@ -68,9 +70,10 @@ def random_split(df: DataFrame, test_ratio: float = TEST_RATIO, seed: int = SEED
 
 
 def id_split(df: DataFrame, test_ratio: float = TEST_RATIO, key: str = "post_id") -> tuple[DataFrame, DataFrame]:
-    """Split by the last digit of the id: the same rows whatever the partitioning."""
-    cut = round(10 * (1.0 - test_ratio))
-    in_train = F.pmod(F.col(key), F.lit(10)) < cut
+    """Split by a hash of the id: any ratio holds, and the same rows whatever the partitioning."""
+    cut = round(SPLIT_PARTS * (1.0 - test_ratio))
+    place = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("bigint")
+    in_train = place % SPLIT_PARTS < cut
     return df.filter(in_train), df.filter(~in_train)
 
 
@@ -102,7 +105,7 @@ def label_stage(label: str = "sentiment_label", extra_class: bool = False) -> St
         inputCol=label,
         outputCol="label",
         stringOrderType="frequencyDesc",
-        handleInvalid="keep" if extra_class else "skip",
+        handleInvalid="keep" if extra_class else "error",
     )
 
 
@@ -186,6 +189,7 @@ def train_and_evaluate(
     began = time.monotonic()
     model, labels = fit(train, label=label, **options)
     seconds = time.monotonic() - began
+    train_count = train.count()
     predicted = predict(model, labels, test)
     counts = evaluation.confusion_counts(predicted, label, "predicted_label")
     return Trained(
@@ -197,13 +201,14 @@ def train_and_evaluate(
         feature_weights=feature_weights(model, df.sparkSession),
         predictions=predicted,
         train_seconds=seconds,
+        train_count=train_count,
+        settings={
+            "num_features": NUM_FEATURES, "reg_param": REG_PARAM, "max_iter": MAX_ITER, "elastic_net": ELASTIC_NET,
+            "test_ratio": test_ratio, "seed": seed, **options,
+        },
     )
 
 
-def decode(df: DataFrame, labels: list[str]) -> DataFrame:
-    return IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels).transform(df)
-
-
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
@@ -218,32 +223,29 @@ def tune(
     seed=SEED, label="sentiment_label", parallelism: int = 2,
 ) -> DataFrame:
     """Weighted F of every parameter choice on a held-out part, best first."""
-    *text, tf, idf = text_stages(features[0])
     lr = logistic()
-    grid = (
-        ParamGridBuilder()
-        .addGrid(tf.numFeatures, list(features))
-        .addGrid(lr.regParam, list(reg_params))
-        .addGrid(lr.maxIter, list(max_iters))
-        .build()
-    )
-    rows = train_rows(df, label=label).select("clean_text", label).persist(StorageLevel.MEMORY_AND_DISK)
-    validated = TrainValidationSplit(
-        estimator=Pipeline(stages=[*text, tf, idf, label_stage(label), lr]),
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
-        trainRatio=train_ratio,
-        seed=seed,
-        parallelism=parallelism,
-    )
-    try:
-        metrics = validated.fit(rows).validationMetrics
-    finally:
-        rows.unpersist()
-    listed = [
-        (int(g[tf.numFeatures]), float(g[lr.regParam]), int(g[lr.maxIter]), round(float(m), 4))
-        for g, m in zip(grid, metrics)
-    ]
+    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).addGrid(lr.maxIter, list(max_iters)).build()
+    rows = train_rows(df, label=label).select("clean_text", label)
+    listed = []
+    for count in features:
+        # Tokens, frequencies and labels depend on the number of features alone: once per number.
+        prepared = Pipeline(stages=[*text_stages(count), label_stage(label)]).fit(rows).transform(rows)
+        vectors = prepared.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+        validated = TrainValidationSplit(
+            estimator=lr,
+            estimatorParamMaps=grid,
+            evaluator=MulticlassClassificationEvaluator(metricName="f1"),
+            trainRatio=train_ratio,
+            seed=seed,
+            parallelism=parallelism,
+        )
+        try:
+            metrics = validated.fit(vectors).validationMetrics
+        finally:
+            vectors.unpersist()
+        listed += [
+            (int(count), float(g[lr.regParam]), int(g[lr.maxIter]), round(float(m), 4)) for g, m in zip(grid, metrics)
+        ]
     return df.sparkSession.createDataFrame(
         listed, "num_features int, reg_param double, max_iter int, f1 double"
     ).orderBy(F.desc("f1"), "num_features", "reg_param", "max_iter")

@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidepost import rules
-from tidepost.functions.labels import classify
 from tidepost.operators.summaries import histogram
 from tidepost.sources.listing import matches
 
@@ -40,10 +39,6 @@ def union_entities(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def label_entities(df: DataFrame, score: str = "sentiment_score") -> DataFrame:
-    return df.withColumn("sentiment_label", classify(F.col(score)))
-
-
 def entity_compare(tagged: DataFrame, entities) -> DataFrame:
     """Mean score, positive posts, volume and positive percent; entities without posts stay."""
     spark = tagged.sparkSession

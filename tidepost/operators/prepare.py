@@ -13,6 +13,7 @@ from tidepost.functions import labels, lexicon, text as tx, times
 from tidepost.functions.binding import bind
 from tidepost.sources.tables import engagement
 
+# Layout of prepared posts.
 PREPARED_COLUMNS = (
     "timestamp", "platform", "topic", "text", "clean_text", "tokens", "word_count",
     "sentiment_label", "sentiment_score", "likes", "shares", "user_followers", "user",

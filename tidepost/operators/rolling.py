@@ -2,8 +2,8 @@
 
 ``Window.partitionBy(series)`` alone would put a whole series into one task, and one series
 may hold a third of all rows. The rows of a series are therefore cut into chunks of about
-equal size at sampled (time, id) bounds, and each chunk is given copies of the few rows
-before it. The sample decides only where the cuts are, never the result.
+equal size at (time, id) bounds that a hash picks, and each chunk is given copies of the few rows
+before it. The hash decides only where the cuts are, never the result.
 """
 
 from __future__ import annotations
@@ -11,70 +11,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Frame length and band width.
 WINDOW_ROWS = 10
 BAND_WIDTH = 2.0
 
-SAMPLE_PER_CHUNK = 16
-MAX_CHUNKS = 8192
+#: Rows of a chunk, on average: one row in so many is a cut.
+ROWS_PER_CHUNK = 20_000
 # cuts per block of the two-step search
 BLOCK = 64
 
 
-def default_chunks(df: DataFrame) -> int:
-    """Twice the shuffle partitions of the session, within limits."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(MAX_CHUNKS, 2 * parts))
-
-
 def _series_name(series: Column) -> Column:
     """Text form used to look cuts up; two series sharing a name would only share cuts."""
     return F.coalesce(series.cast("string"), F.lit(""))
 
 
-def cut_points(df: DataFrame, series: str, order: tuple[str, str], chunks: int) -> DataFrame:
-    """One row per sampled series: its cuts (sorted (time, id) pairs), in blocks.
+def cut_points(df: DataFrame, series: str, order: tuple[str, str], rows_per_chunk: int) -> DataFrame:
+    """One row per series: its cuts (sorted (time, id) pairs), in blocks.
 
-    A random sample of about ``chunks * SAMPLE_PER_CHUNK`` rows gives every series cuts in
-    proportion to its rows; rare series get none. At most ``chunks`` cuts exist in all.
+    Every row whose (time, id) hashes to one residue is a cut, so the number of cuts follows the
+    rows of each series, no row is counted or collected beforehand, and any run makes the same
+    cuts.
     """
     ts, key = order
-    rows = df.select(_series_name(F.col(series)).alias("s"), F.col(ts).alias("t"), F.col(key).alias("k"))
-    total = df.count()
-    share = min(1.0, chunks * SAMPLE_PER_CHUNK / max(total, 1))
-    sample = rows.sample(share, seed=7).na.drop(subset=["t", "k"]).collect()
-    in_order = sorted(sample, key=lambda r: (r["s"], r["t"], r["k"]))
-    cuts: dict[str, list] = {}
-    for row in in_order[SAMPLE_PER_CHUNK - 1 :: SAMPLE_PER_CHUNK]:
-        cuts.setdefault(row["s"], []).append((row["t"], row["k"]))
-    cut = T.StructType([T.StructField("t", rows.schema["t"].dataType), T.StructField("k", rows.schema["k"].dataType)])
-    schema = T.StructType(
-        [
-            T.StructField("_name", T.StringType()),
-            T.StructField("_firsts", T.ArrayType(cut)),
-            T.StructField("_blocks", T.ArrayType(T.ArrayType(cut))),
-        ]
+    rows = df.select(_series_name(F.col(series)).alias("_name"), F.struct(F.col(ts).alias("t"), F.col(key).alias("k")).alias("c"))
+    chosen = F.pmod(F.xxhash64("c"), F.lit(rows_per_chunk)) == 0
+    rows = rows.filter(chosen & F.col("c.t").isNotNull() & F.col("c.k").isNotNull())
+    cuts = rows.groupBy("_name").agg(F.sort_array(F.collect_set("c")).alias("_cuts"))
+    starts = F.sequence(F.lit(1), F.size("_cuts"), F.lit(BLOCK))
+    return cuts.select(
+        "_name",
+        F.transform(starts, lambda i: F.get(F.col("_cuts"), i - 1)).alias("_firsts"),
+        F.transform(starts, lambda i: F.slice("_cuts", i, BLOCK)).alias("_blocks"),
     )
-    listed = [
-        (name, points[::BLOCK], [points[i : i + BLOCK] for i in range(0, len(points), BLOCK)])
-        for name, points in cuts.items()
-    ]
-    return df.sparkSession.createDataFrame(listed, schema)
 
 
 def _passed(cuts: Column, here: Column) -> Column:
     return F.size(F.filter(cuts, lambda c: c <= here))
 
 
-def _chunked(df: DataFrame, series: str, order: tuple[str, str], chunks: int | None) -> DataFrame:
-    """Adds ``_chunk``: the number of cuts at or before the row within its series."""
-    chunks = default_chunks(df) if chunks is None else chunks
-    if chunks <= 1:
-        return df.withColumn("_chunk", F.lit(0))
-    # broadcast: at most ``chunks`` (time, id) pairs, see cut_points
-    cuts = F.broadcast(cut_points(df, series, order, chunks))
+def _chunked(df: DataFrame, series: str, order: tuple[str, str], rows_per_chunk: int) -> DataFrame:
+    """Adds ``_chunk``: the number of cuts at or before the row within its series.
+
+    Whether the cuts are broadcast is left to Spark, which knows their size at run time.
+    """
+    cuts = cut_points(df, series, order, rows_per_chunk)
     here = F.struct(F.col(order[0]).alias("t"), F.col(order[1]).alias("k"))
     block = _passed(F.col("_firsts"), here)
     inside = F.coalesce(_passed(F.get("_blocks", F.col("_block") - 1), here), F.lit(0))
@@ -129,7 +111,7 @@ def rolling_stats(
     window: int = WINDOW_ROWS,
     width: float = BAND_WIDTH,
     exclude_current: bool = False,
-    chunks: int | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
     digits: int | None = None,
 ) -> DataFrame:
     """Adds ``rolling_mean``, ``rolling_std``, ``upper_band``, ``lower_band``, ``is_anomaly``.
@@ -139,7 +121,7 @@ def rolling_stats(
     equal to its values and no outliers. ``value`` must not be null.
     """
     before = window if exclude_current else window - 1
-    rows = _chunked(df, series, (ts, key), chunks)
+    rows = _chunked(df, series, (ts, key), rows_per_chunk)
     carried = _carried(rows, series, (ts, key), value, before)
     both = rows.withColumn("_own", F.lit(True)).unionByName(
         carried.withColumn("_own", F.lit(False)), allowMissingColumns=True

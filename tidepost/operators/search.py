@@ -40,6 +40,10 @@ def distinct_topics(df: DataFrame, topic: str = "topic") -> DataFrame:
     return df.select(topic).distinct().orderBy(topic)
 
 
+def sort_column(by: str = "Most Recent") -> str:
+    return SORTS.get(by, SORTS["Most Recent"])[0]
+
+
 def sort_order(by: str = "Most Recent", key: str = "post_id") -> list[Column]:
     """Nulls last both ways, ties by id."""
     column, ascending = SORTS.get(by, SORTS["Most Recent"])

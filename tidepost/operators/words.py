@@ -11,13 +11,16 @@ from tidepost.functions.binding import bind
 from tidepost.functions.lexicon import lexicon_words
 from tidepost.functions.text import letter_words, phrases
 
-BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
-def _is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when the table has at most ``rows`` rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def _salted(df: DataFrame) -> DataFrame:
+    """Rows dealt to ``SALTS`` numbers by input task, so that a word found everywhere is spread."""
+    return df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+
+
+def _copies(df: DataFrame) -> DataFrame:
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def keywords_exploded(
@@ -34,11 +37,14 @@ def keywords_exploded(
 
 
 def drop_stop_words(df: DataFrame, stop_words=rules.STOP_WORDS, word: str = "word") -> DataFrame:
-    """A list becomes a constant set; a table becomes an anti join on its words."""
+    """A list becomes a constant set; a table becomes an anti join on its words.
+
+    The join is salted, and whether the table is broadcast is left to Spark.
+    """
     if not isinstance(stop_words, DataFrame):
         return df.filter(~F.col(word).isin(*stop_words))
     stops = stop_words.select(F.col(stop_words.columns[0]).alias(word)).distinct()
-    return df.join(F.broadcast(stops) if _is_small(stops) else stops, word, "left_anti")
+    return _salted(df).join(_copies(stops), [word, "_salt"], "left_anti").drop("_salt")
 
 
 def word_counts(df: DataFrame, *by: str, text: str = "text", where: Column | None = None) -> DataFrame:
@@ -115,18 +121,12 @@ def lexicon_frame(spark) -> DataFrame:
 def lexicon_hits(df: DataFrame, lexicon: DataFrame, key: str = "post_id", text: str = "text") -> DataFrame:
     """Lexicon words per post with their count and summed valence, for any lexicon table.
 
-    A post's repeats are folded inside its own task before anything moves. A small lexicon is
-    broadcast; a large one is joined on (token, salt) so that a word found in every post
-    is spread over ``SALTS`` tasks.
+    The join is on (token, salt), so that a word found in every post is spread over ``SALTS``
+    tasks; whether the lexicon is broadcast is left to Spark.
     """
     found = df.select(key, F.explode(lexicon_words(F.col(text))).alias("token"))
     unique = lexicon.dropDuplicates(["token"])
-    if _is_small(unique):
-        joined = found.join(F.broadcast(unique), "token")
-    else:
-        salted = found.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-        copies = unique.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(copies, ["token", "salt"])
+    joined = _salted(found).join(_copies(unique), ["token", "_salt"])
     return joined.groupBy(key, "token").agg(
         F.count("*").alias("n"), F.round(F.sum("valence"), 4).alias("valence_sum")
     )
@@ -148,12 +148,12 @@ def cooccurrence_nodes(df: DataFrame, n: int = 30, text: str = "text") -> DataFr
 def cooccurrence_edges(df: DataFrame, n: int = 30, text: str = "text", nodes: DataFrame | None = None) -> DataFrame:
     """Pairs of top words that share a post, with the number of posts; weight above 1.
 
-    The top list (n words, read once) enters as a constant, so each post is cut down to it
+    The top list (n words) enters as a scalar subquery, so each post is cut down to it
     inside its own row: at most n(n-1)/2 pairs per post, folded in the map task before the
     shuffle.
     """
     nodes = cooccurrence_nodes(df, n, text) if nodes is None else nodes
-    top = F.array(*[F.lit(r["word"]) for r in nodes.select("word").collect()]).cast("array<string>")
+    top = nodes.agg(F.collect_list("word")).scalar()
 
     def pairs(ws: Column) -> Column:
         def with_later(w1: Column, i: Column) -> Column:
@@ -163,7 +163,8 @@ def cooccurrence_edges(df: DataFrame, n: int = 30, text: str = "text", nodes: Da
 
     present = F.sort_array(F.array_intersect(letter_words(F.col(text)), top))
     return (
-        df.select(F.inline(bind(present, pairs)))
+        df.select(present.alias("present"))
+        .select(F.inline(bind(F.col("present"), pairs)))
         .groupBy("w1", "w2")
         .agg(F.count("*").alias("weight"))
         .filter(F.col("weight") > 1)

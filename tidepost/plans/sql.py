@@ -159,6 +159,8 @@ def _posts() -> str:
 
 STOPS = listed(rules.STOP_WORDS)
 
+# The cleaning patterns, topics and thresholds used here are the fixed values of ``rules`` and
+# ``functions.text`` once more, in the other dialect.
 CTES: dict[str, str] = {
     "lexicon": "SELECT * FROM (VALUES "
     + _values([(w, *v) for w, v in rules.LEXICON.items()])
@@ -182,6 +184,9 @@ CTES: dict[str, str] = {
     "live": f"""
         SELECT p.*, r.compound AS sentiment_score, {label('r.compound', True)} AS sentiment_label
         FROM posts p JOIN raw r ON r.id = p.post_id""",
+    "compared": f"""
+        SELECT p.*, r.compound AS sentiment_score, {label('r.compound')} AS sentiment_label
+        FROM posts p JOIN raw r ON r.id = p.post_id""",
     "docs": f"SELECT doc_id, source, text, {clean('text')} AS clean_text FROM documents",
     **valence("dval", "docs", "doc_id", "clean_text"),
     "doc_words": f"""

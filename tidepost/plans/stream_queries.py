@@ -7,23 +7,45 @@ from pyspark.sql import functions as F
 from tidepost import rules
 from tidepost.plans import sql as q
 from tidepost.plans.registry import Given, query
-from tidepost.plans.summary_queries import PAIR, ROLLING_SQL
+from tidepost.plans.summary_queries import EXCLUDING_SQL, PAIR, ROLLING_SQL
+from tidepost.plans.text_queries import INGEST_SQL, listings_of
+from tidepost.sources import listing
 from tidepost.sources.workdir import fresh_path
 from tidepost.streaming import live, sinks
 
 SLICES = 3
 
 
-def _whole_span(g: Given) -> str:
-    """A delay no stored row can exceed: replayed files come in any order, and none may be late."""
-    low, high = g.events.agg(F.min("ts"), F.max("ts")).first()
-    return f"{int((high - low).total_seconds()) + 1 if low else 1} seconds"
+def _slices(df, ts):
+    """Time slices of about equal size, oldest first."""
+    micros = F.unix_micros(ts)
+    shares = [i / SLICES for i in range(1, SLICES)]
+    cuts = df.agg(F.percentile_approx(micros, shares, F.lit(100))).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = df if low is None else df.filter(micros >= low)
+        yield part if high is None else part.filter(micros < high)
+
+
+def _arriving(g: Given):
+    """A folder of event files, and steps that let one time slice after the other arrive in it."""
+    landing = fresh_path(g.spark, "landing")
+    first, *later = _slices(g.events, F.col("ts").cast("timestamp"))
+    first.write.parquet(landing)
+
+    def steps():
+        yield
+        for part in later:
+            part.write.mode("append").parquet(landing)
+            yield
+
+    return landing, steps()
 
 
 @query("stream_scored", "SELECT post_id, sentiment_score, sentiment_label FROM live")
 def stream_scored(g: Given):
-    scored = live.score_live(live.stream_posts(g.spark, g.sf_dir))
-    return sinks.drain(scored.select("post_id", "sentiment_score", "sentiment_label"), "scored")
+    landing, steps = _arriving(g)
+    scored = live.score_live(live.stream_posts(g.spark, landing))
+    return sinks.drain(scored.select("post_id", "sentiment_score", "sentiment_label"), "scored", steps=steps)
 
 
 @query(
@@ -33,8 +55,9 @@ def stream_scored(g: Given):
         FROM live WHERE abs(sentiment_score) >= {rules.ALERT_LEVEL}""",
 )
 def stream_alerts(g: Given):
-    found = live.alerts(live.score_live(live.stream_posts(g.spark, g.sf_dir)))
-    return sinks.drain(found.select("post_id", "sentiment_score", "alert", "excerpt"), "alerts")
+    landing, steps = _arriving(g)
+    found = live.alerts(live.score_live(live.stream_posts(g.spark, landing)))
+    return sinks.drain(found.select("post_id", "sentiment_score", "alert", "excerpt"), "alerts", steps=steps)
 
 
 @query(
@@ -47,10 +70,9 @@ def stream_alerts(g: Given):
        FROM live GROUP BY 1""",
 )
 def stream_hourly(g: Given):
-    scored = live.score_live(live.stream_posts(g.spark, g.sf_dir))
-    totals = sinks.drain_update(
-        live.windowed_totals(scored, delay=_whole_span(g)), "hourly", ["window_start"]
-    )
+    landing, steps = _arriving(g)
+    scored = live.score_live(live.stream_posts(g.spark, landing))
+    totals = sinks.drain_update(live.windowed_totals(scored), "hourly", ["window_start"], steps=steps)
     return totals.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         "posts",
@@ -64,31 +86,51 @@ def stream_hourly(g: Given):
 @query("stream_anomalies", f"SELECT * FROM ({ROLLING_SQL}) WHERE is_anomaly")
 def stream_anomalies(g: Given):
     """Posts arrive in time slices; the stream is stopped after each and goes on from its checkpoint."""
+    return _streamed_bands(g).filter("is_anomaly").drop("timestamp")
+
+
+def _streamed_bands(g: Given, **options):
     posts = g.posts.select("post_id", "timestamp", "platform", "value")
-    micros = F.unix_micros("timestamp")
-    shares = [i / SLICES for i in range(1, SLICES)]
-    cuts = posts.agg(F.percentile_approx(micros, shares, F.lit(100))).first()[0] or []
     landing = fresh_path(g.spark, "landing")
-    bands = sinks.RollingBands(fresh_path(g.spark, "bands"), "platform", "value", "timestamp", "post_id", digits=6)
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = posts if low is None else posts.filter(micros >= low)
-        part = part if high is None else part.filter(micros < high)
+    bands = sinks.RollingBands(
+        fresh_path(g.spark, "bands"), "platform", "value", "timestamp", "post_id", digits=6, **options
+    )
+    for part in _slices(posts, F.col("timestamp")):
         part.write.mode("append").parquet(landing)
         bands.run_available(live.stream_table(g.spark, landing))
-    return bands.result(g.spark).filter("is_anomaly").drop("timestamp")
+    return bands.result(g.spark)
+
+
+@query("stream_anomalies_excluding_current", f"SELECT * FROM ({EXCLUDING_SQL}) WHERE is_anomaly")
+def stream_anomalies_excluding_current(g: Given):
+    found = _streamed_bands(g, exclude_current=True).filter("is_anomaly")
+    return found.drop("timestamp", "upper_band", "lower_band")
+
+
+@query(
+    "stream_bands_twenty",
+    """SELECT post_id, platform, value, round(m, 6) AS rolling_mean, round(s, 6) AS rolling_std,
+         total > 2 AND (value > m + 2 * s OR value < m - 2 * s) AS is_anomaly
+       FROM (SELECT post_id, platform, value, count(*) OVER (PARTITION BY platform) AS total,
+               avg(value) OVER w AS m, coalesce(stddev_samp(value) OVER w, 0) AS s FROM posts
+             WINDOW w AS (PARTITION BY platform ORDER BY "timestamp", post_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))""",
+)
+def stream_bands_twenty(g: Given):
+    return _streamed_bands(g, window=20).drop("timestamp", "upper_band", "lower_band")
 
 
 @query(
     "stream_entities",
     f"""SELECT entity, count(*) AS volume, round(avg(sentiment_score), 6) AS avg_score,
           count(*) FILTER (WHERE sentiment_label = 'Positive') AS positive
-        FROM (SELECT *, '{PAIR[0]}' AS entity FROM live WHERE contains(lower(text), {q.quoted(PAIR[0].lower())})
-              UNION ALL SELECT *, '{PAIR[1]}' FROM live WHERE contains(lower(text), {q.quoted(PAIR[1].lower())}))
+        FROM (SELECT *, '{PAIR[0]}' AS entity FROM compared WHERE contains(lower(text), {q.quoted(PAIR[0].lower())})
+              UNION ALL SELECT *, '{PAIR[1]}' FROM compared WHERE contains(lower(text), {q.quoted(PAIR[1].lower())}))
         GROUP BY entity""",
 )
 def stream_entities(g: Given):
-    scored = live.score_live(live.stream_posts(g.spark, g.sf_dir))
-    totals = sinks.drain_complete(live.entity_totals(scored, PAIR), "entities")
+    landing, steps = _arriving(g)
+    scored = live.score_live(live.stream_posts(g.spark, landing), inclusive=False)
+    totals = sinks.drain_complete(live.entity_totals(scored, PAIR), "entities", steps=steps)
     return totals.select(
         "entity", "volume", F.round(F.col("score_sum") / F.col("volume"), 6).alias("avg_score"), "positive"
     )
@@ -96,8 +138,17 @@ def stream_entities(g: Given):
 
 @query("stream_dedup", "SELECT post_id, platform, text FROM posts")
 def stream_dedup(g: Given):
-    """Every post delivered twice, kept once."""
-    once = live.stream_posts(g.spark, g.sf_dir)
-    again = live.stream_posts(g.spark, g.sf_dir)
-    kept = live.deduplicated(once.unionByName(again), delay=_whole_span(g))
-    return sinks.drain(kept.select("post_id", "platform", "text"), "dedup")
+    """Every post delivered twice, by different sources, kept once."""
+    landing, steps = _arriving(g)
+    twice = live.stream_posts(g.spark, landing).unionByName(live.stream_posts(g.spark, landing))
+    kept = live.deduplicated(twice)
+    return sinks.drain(kept.select("post_id", "platform", "text"), "dedup", steps=steps)
+
+
+@query("stream_listing", INGEST_SQL)
+def stream_listing(g: Given):
+    """The listings of ``ingest_listing`` as a stream over several files."""
+    path = fresh_path(g.spark, "listing")
+    listings_of(g).repartition(SLICES, "data").write.json(path)
+    flat = sinks.drain(listing.flatten_listing(listing.stream_listing(g.spark, path, max_files=1)), "listing")
+    return flat.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))

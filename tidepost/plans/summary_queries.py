@@ -9,6 +9,7 @@ from tidepost.functions import text as tx
 from tidepost.operators import entities, evaluation, prepare, rolling, search, summaries, words
 from tidepost.plans import sql as q
 from tidepost.plans.registry import SECOND_SQL, Given, query, second
+from tidepost.streaming.live import score_live
 
 LABEL_COUNTS = ", ".join(
     f"count(*) FILTER (WHERE sentiment_label = '{x}') AS {x.lower()}" for x in rules.LABELS
@@ -142,10 +143,10 @@ def column_profile(g: Given):
 @query(
     "live_kpis",
     f"""SELECT platform, count(*) AS posts, round(avg(sentiment_score), 6) AS avg_score, {LABEL_COUNTS}
-        FROM scored GROUP BY platform""",
+        FROM live GROUP BY platform""",
 )
 def live_kpis(g: Given):
-    return summaries.live_kpis(g.scored, "platform")
+    return summaries.live_kpis(score_live(g.posts), "platform")
 
 
 @query(
@@ -180,7 +181,11 @@ def _sort_query(key: str, choice: str, order: str):
         f"""SELECT {SECOND_SQL}, {SORT_COLUMNS} FROM scored ORDER BY {order} NULLS LAST, post_id LIMIT 20""",
     )
     def run(g: Given):
-        top = search.sorted_posts(g.scored, choice)
+        if search.sort_column(choice) in g.posts.columns:  # stored: only the rows shown are scored
+            top = search.sorted_posts(prepare.drop_blank_text(g.posts), choice)
+            top = prepare.score_sentiment(prepare.prepare_posts(top))
+        else:
+            top = search.sorted_posts(g.scored, choice)
         return top.select(second(), *SORT_COLUMNS.split(", "))
 
     return run
@@ -199,9 +204,7 @@ sort_shared = _sort_query("sort_shared", "Most Shared", "shares DESC")
         FROM live ORDER BY "timestamp" DESC, post_id LIMIT 10""",
 )
 def live_feed(g: Given):
-    from tidepost.streaming.live import score_live
-
-    feed = search.live_feed(score_live(g.posts))
+    feed = score_live(search.live_feed(g.posts))
     return feed.select("post_id", "user", "text", "sentiment_label", "sentiment_score", "clock")
 
 
@@ -312,13 +315,13 @@ def rolling_stats(g: Given):
     return rolling.rolling_stats(_series(g), value="value", digits=6).drop("timestamp")
 
 
-@query(
-    "rolling_stats_excluding_current",
-    """SELECT post_id, platform, value, round(coalesce(m, value), 6) AS rolling_mean, round(coalesce(s, 0), 6) AS rolling_std,
+EXCLUDING_SQL = """SELECT post_id, platform, value, round(coalesce(m, value), 6) AS rolling_mean, round(coalesce(s, 0), 6) AS rolling_std,
          coalesce(s, 0) > 0 AND (value > m + 2 * s OR value < m - 2 * s) AS is_anomaly
        FROM (SELECT post_id, platform, value, avg(value) OVER w AS m, stddev_samp(value) OVER w AS s FROM posts
-         WINDOW w AS (PARTITION BY platform ORDER BY "timestamp", post_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))""",
-)
+         WINDOW w AS (PARTITION BY platform ORDER BY "timestamp", post_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING))"""
+
+
+@query("rolling_stats_excluding_current", EXCLUDING_SQL)
 def rolling_stats_excluding_current(g: Given):
     out = rolling.rolling_stats(_series(g), value="value", digits=6, exclude_current=True)
     return out.drop("timestamp", "upper_band", "lower_band")
@@ -335,11 +338,12 @@ PAIR = ("AI technology", "cryptocurrency")
 
 
 def _tagged_sql(entity: str) -> str:
-    return f"""SELECT s.*, '{entity}' AS entity FROM scored s WHERE contains(lower(text), '{entity.lower()}')"""
+    return f"""SELECT s.*, '{entity}' AS entity FROM compared s WHERE contains(lower(text), '{entity.lower()}')"""
 
 
 def _named(g: Given, names):
-    return prepare.score_sentiment(entities.tag_entities(g.prepared, names))
+    """Tagged, then scored on raw text with strict thresholds."""
+    return score_live(entities.tag_entities(g.posts, names), inclusive=False)
 
 
 BOTH_SQL = " UNION ALL ".join(_tagged_sql(e) for e in PAIR)
@@ -353,7 +357,8 @@ BOTH_SQL = " UNION ALL ".join(_tagged_sql(e) for e in PAIR)
 )
 def entity_union(g: Given):
     """The newest fifty posts of either side; a post that names both is there twice."""
-    newest = entities.latest_per_entity(_named(g, ["technology", "report"]))
+    tagged = entities.tag_entities(g.posts, ["technology", "report"])
+    newest = score_live(entities.latest_per_entity(tagged), inclusive=False)
     return newest.select("post_id", "entity", "sentiment_score", "sentiment_label")
 
 

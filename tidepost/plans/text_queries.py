@@ -18,8 +18,7 @@ TWEET_DATE = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
 
 @query(
     "scan_csv_posts",
-    rf"""SELECT target, post_id AS ids, "user", regexp_replace(text, '[^\x{{00}}-\x{{FF}}]', '', 'g') AS text,
-           {SECOND_SQL} FROM posts""",
+    f"""SELECT target, post_id AS ids, "user", text, {SECOND_SQL} FROM posts""",
 )
 def scan_csv_posts(g: Given):
     path = workdir.fresh_path(g.spark, "csv-posts")
@@ -30,11 +29,12 @@ def scan_csv_posts(g: Given):
             F.date_format("timestamp", TWEET_DATE).alias("date"),
             F.lit("NO_QUERY").alias("flag"),
             "user",
-            F.regexp_replace("text", r"[^\x{00}-\x{FF}]", "").alias("text"),
+            "text",
         ),
         path,
+        encoding="UTF-8",
     )
-    scanned = files.read_csv_posts(g.spark, path)
+    scanned = files.read_csv_posts(g.spark, path, encoding="UTF-8", escaped=True)
     return scanned.select(
         "target", "ids", "user", "text", second_of(times.post_timestamp(F.col("date")))
     )
@@ -49,17 +49,16 @@ def scan_limit(g: Given):
     return files.first_rows(g.posts.select("post_id", "text"), 1000, "post_id")
 
 
-@query(
-    "ingest_listing",
-    f"""SELECT doc_id::VARCHAR AS id, trim(concat_ws(' ', lang, text)) AS text, source AS author,
-          (1700000000 + doc_id)::DOUBLE AS created_utc,
-          strftime(to_timestamp(1700000000 + doc_id) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS "timestamp",
-          '{listing.SITE}/r/' || lang || '/' || doc_id AS url, lang AS subreddit
-        FROM documents WHERE trim(concat_ws(' ', lang, text)) <> ''""",
-)
-def ingest_listing(g: Given):
-    """Documents as listings with an empty second child, written and read back as JSON."""
-    path = workdir.fresh_path(g.spark, "listing")
+INGEST_SQL = rf"""
+  SELECT doc_id::VARCHAR AS id, regexp_replace(concat_ws(' ', lang, text), '^\s+|\s+$', '', 'g') AS text, source AS author,
+    (1700000000 + doc_id)::DOUBLE AS created_utc,
+    strftime(to_timestamp(1700000000 + doc_id) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS "timestamp",
+    '{listing.SITE}/r/' || lang || '/' || doc_id AS url, lang AS subreddit
+  FROM documents WHERE regexp_matches(concat_ws(' ', lang, text), '\S')"""
+
+
+def listings_of(g: Given):
+    """Documents as listings with a second child of white space alone."""
     child = F.struct(
         F.col("doc_id").cast("string").alias("id"),
         F.col("lang").alias("title"),
@@ -69,9 +68,16 @@ def ingest_listing(g: Given):
         F.concat(F.lit("/r/"), F.col("lang"), F.lit("/"), F.col("doc_id")).alias("permalink"),
         F.col("lang").alias("subreddit"),
     )
-    empty = child.withField("title", F.lit("")).withField("selftext", F.lit(" "))
+    empty = child.withField("title", F.lit("\n")).withField("selftext", F.lit(" \t"))
     children = F.array(F.struct(child.alias("data")), F.struct(empty.alias("data")))
-    g.documents.select(F.struct(children.alias("children")).alias("data")).write.json(path)
+    return g.documents.select(F.struct(children.alias("children")).alias("data"))
+
+
+@query("ingest_listing", INGEST_SQL)
+def ingest_listing(g: Given):
+    """Written and read back as JSON."""
+    path = workdir.fresh_path(g.spark, "listing")
+    listings_of(g).write.json(path)
     flat = listing.flatten_listing(listing.read_listing(g.spark, path))
     return flat.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
 
@@ -109,7 +115,8 @@ def export_csv(g: Given):
         FROM prepared ORDER BY prepared."timestamp", post_id LIMIT 200""",
 )
 def preview_rows(g: Given):
-    return files.preview(g.prepared, 200).withColumn(
+    posts = prepare.drop_blank_text(g.posts)
+    return files.preview(posts, 200, prepare=prepare.prepare_posts).withColumn(
         "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
     )
 

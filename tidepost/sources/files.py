@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,26 +22,50 @@ CSV_SCHEMA = T.StructType(
 CSV_ENCODING = "ISO-8859-1"
 
 
-def read_csv_posts(spark: SparkSession, path, limit: int | None = None) -> DataFrame:
-    """Scan one path, a list of paths or a glob; ``limit`` caps the rows read."""
+def _one_line(text: Column) -> Column:
+    """Line ends and backslashes escaped, so that a row is a line and files can be split."""
+    for found, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(found), F.lit(mark))
+    return text
+
+
+def _whole_text(text: Column) -> Column:
+    """The text that :func:`_one_line` was given (which must not hold the null character)."""
+    for found, mark in (("\\\\", "\0"), ("\\n", "\n"), ("\\r", "\r"), ("\0", "\\")):
+        text = F.replace(text, F.lit(found), F.lit(mark))
+    return text
+
+
+def _on_strings(df: DataFrame, change) -> DataFrame:
+    return df.select(*[change(F.col(n)).alias(n) if t == "string" else F.col(n) for n, t in df.dtypes])
+
+
+def read_csv_posts(
+    spark: SparkSession, path, limit: int | None = None, encoding: str = CSV_ENCODING, escaped: bool = False
+) -> DataFrame:
+    """Scan one path, a list of paths or a glob; ``limit`` caps the rows read.
+
+    ``escaped`` reads what :func:`write_csv_posts` wrote, whose texts may have several lines.
+    """
     df = (
         spark.read.schema(CSV_SCHEMA)
         .option("header", False)
-        .option("encoding", CSV_ENCODING)
+        .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
     )
-    return df.limit(limit) if limit else df
+    df = df.limit(limit) if limit else df
+    return _on_strings(df, _whole_text) if escaped else df
 
 
-def write_csv_posts(df: DataFrame, path: str) -> None:
-    """The same layout, written by the executors."""
+def write_csv_posts(df: DataFrame, path: str, encoding: str = CSV_ENCODING) -> None:
+    """The same layout, written by the executors; line ends are escaped (see ``escaped``)."""
     (
-        df.select(*CSV_SCHEMA.fieldNames())
+        _on_strings(df.select(*CSV_SCHEMA.fieldNames()), _one_line)
         .write.mode("overwrite")
         .option("header", False)
-        .option("encoding", CSV_ENCODING)
+        .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
         .option("quoteAll", True)
@@ -60,15 +84,19 @@ def first_rows(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
-def preview(df: DataFrame, n: int = 200, order=("timestamp", "post_id")) -> DataFrame:
+def preview(df: DataFrame, n: int = 200, order=("timestamp", "post_id"), prepare=None) -> DataFrame:
+    """Display columns of the first rows; ``prepare`` is applied to those rows alone."""
     keys = [c for c in order if c in df.columns]
-    return existing_columns(first_rows(df, n, *keys))
+    rows = first_rows(df, n, *keys)
+    return existing_columns(prepare(rows) if prepare else rows)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
+def export_csv(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
+    """Display columns with a header; line ends are escaped, so files can be split when read."""
     (
-        existing_columns(df)
+        _on_strings(existing_columns(df), _one_line)
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -78,13 +106,8 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .csv(path)
-    )
+    df = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return _on_strings(df, _whole_text)
 
 
 def export_parquet(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:

@@ -51,7 +51,8 @@ def stream_listing(spark: SparkSession, path: str, max_files: int = 1000) -> Dat
 
 
 def flatten_listing(df: DataFrame) -> DataFrame:
-    """One row per child with text; works on batch and streaming frames alike."""
+    """One row per child with text, in no order; works on batch and streaming frames alike.
+    :func:`newest` puts the newest first."""
     child = df.select(F.explode("data.children").alias("c")).select("c.data.*")
     created = F.coalesce(F.col("created_utc"), F.lit(0.0))
     return child.select(

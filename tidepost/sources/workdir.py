@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tidepost-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a temporary folder of its own; on a cluster
-    there is no safe default, because executors do not share the driver's disk.
+    Where it is unset, a local session gets one temporary folder per process, and the session's
+    settings stay as they are; on a cluster there is no safe default, because executors do not
+    share the driver's disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidepost-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _local_dir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

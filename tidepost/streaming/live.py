@@ -21,23 +21,25 @@ ALERT_EXCERPT = 50
 
 
 def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Parquet files of a folder (or one file) as a stream, schema taken from the table."""
+    """Parquet files of a folder as a stream, schema taken from the table."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # the trailing * also lets a single file be the source
-    return reader.parquet(path.rstrip("/") + "*")
+    return reader.parquet(path)
 
 
-def stream_posts(spark: SparkSession, sf_dir: str, max_files: int | None = 10_000) -> DataFrame:
-    """Posts as a stream; ``timestamp`` has a zone, as watermarks require."""
-    return posts_from_events(stream_table(spark, f"{sf_dir}/events.parquet", max_files))
+def stream_posts(spark: SparkSession, events_dir: str, max_files: int | None = 10_000) -> DataFrame:
+    """Posts of a folder of event files as a stream; ``timestamp`` has a zone, as watermarks require."""
+    return posts_from_events(stream_table(spark, events_dir, max_files))
 
 
-def score_live(df: DataFrame, text: str = "text") -> DataFrame:
-    """Raw text scored with capitals counted, thresholds inclusive; stateless."""
+def score_live(df: DataFrame, text: str = "text", inclusive: bool = True) -> DataFrame:
+    """Raw text scored with capitals counted, on batches and streams; stateless.
+
+    The live view has inclusive thresholds, the comparison of entities strict ones.
+    """
     return df.withColumn("sentiment_score", raw_valence_score(F.col(text))).withColumn(
-        "sentiment_label", classify(F.col("sentiment_score"), inclusive=True)
+        "sentiment_label", classify(F.col("sentiment_score"), inclusive=inclusive)
     )
 
 
