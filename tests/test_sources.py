@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepost import rules
-from tidepost.sources import demo, files, listing, tables, workdir
+from tidepost.functions.text import joined_text
+from tidepost.sources import demo, files, listing, workdir
+from tidepost.streaming import live, sinks
 
 
 def test_demo_posts(spark):
@@ -100,8 +102,18 @@ def test_shared_dir_comes_from_the_session():
         workdir.shared_dir(FakeSession(master="yarn"))
 
 
-def test_small_scans_are_spread_and_large_ones_left_alone(spark):
-    small = spark.range(0, 10, 1, 1)
-    assert tables.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    large = spark.range(0, 100, 1, 50)
-    assert tables.spread(large).rdd.getNumPartitions() == 50
+def test_texts_of_several_lines_and_white_space(spark, tmp_path):
+    texts = ["one\ntwo", "a\r\nb", "back\\slash \\n", 'quote " , comma', "plain"]
+    rows = [(4, i, "d", "f", "u", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, files.CSV_SCHEMA)
+    files.write_csv_posts(df, str(tmp_path / "posts"))
+    back = files.read_csv_posts(spark, str(tmp_path / "posts"), escaped=True)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    pairs = spark.createDataFrame([("\n", "\t"), (" a\u00a0", "\nb ")], "t string, b string")
+    assert [r[0] for r in pairs.select(joined_text(F.col("t"), F.col("b"))).collect()] == ["", "a\u00a0 \nb"]
+
+
+def test_a_stream_reads_its_own_folder_only(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "posts"))
+    spark.range(5).write.parquet(str(tmp_path / "posts_old"))
+    assert sinks.drain(live.stream_table(spark, str(tmp_path / "posts")), "own").count() == 3

@@ -104,3 +104,20 @@ def test_state_provider_is_put_back(spark):
     with sinks.state_on_disk(spark):
         assert spark.conf.get(sinks.PROVIDER) == sinks.ROCKSDB
     assert spark.conf.get(sinks.PROVIDER, None) == before
+
+
+@pytest.mark.parametrize("options", [{"window": 20}, {"exclude_current": True}, {}])
+def test_bands_of_any_window_with_late_rows(spark, tmp_path, options):
+    rows = [(i, "ab"[i % 2], i, "", float(i * 37 % 23)) for i in range(60)]
+    order = [*range(0, 20), *range(30, 50), *range(20, 30), *range(50, 60)]
+    bands = sinks.RollingBands(str(tmp_path / "bands"), "platform", "value", "timestamp", "post_id", **options)
+    for at in range(0, 60, 20):
+        land(posts(spark, [rows[i] for i in order[at : at + 20]]), tmp_path / "in")
+        bands.run_available(stream(spark, tmp_path / "in"))
+        time.sleep(1.1)
+    got = {r["post_id"]: r for r in bands.result(spark).collect()}
+    batch = {r["post_id"]: r for r in rolling.rolling_stats(posts(spark, rows), value="value", **options).collect()}
+    assert got.keys() == batch.keys()
+    for k in batch:
+        assert got[k]["rolling_mean"] == pytest.approx(batch[k]["rolling_mean"]), k
+        assert got[k]["is_anomaly"] == batch[k]["is_anomaly"]

@@ -38,12 +38,3 @@ def lenient_timestamp(text: Column) -> Column:
 
 def from_epoch(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
-
-
-def weekday_index(ts: Column) -> Column:
-    """Monday 0 ... Sunday 6."""
-    return F.weekday(ts)
-
-
-def clock_time(ts: Column) -> Column:
-    return F.date_format(ts, "HH:mm:ss")

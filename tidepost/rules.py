@@ -40,22 +40,18 @@ TOPIC_RULES = (
 DEFAULT_TOPIC = "General"
 
 # words never counted as keywords
-STOP_WORDS = tuple(dict.fromkeys("""
-the be to of and a in that have i it for
-not on with he as you do at this but his
-by from they we say her she or an will my
-one all would there their what so up out if
-about who get which go me when make can like
-time no just him know take people into year
-your good some could them see other than then
-now look only come its over think also back
-after use two how our work first well way
-even new want because any these give day most
-us im dont ive cant got was am are is
-has had been were being did does did doing
-really very much still going too more here
-right oh yeah yes lol haha gonna wanna gotta
-""".split()))
+STOP_WORDS = (
+    "the", "be", "to", "of", "and", "a", "in", "that", "have", "i", "it", "for", "not", "on", "with", "he",
+    "as", "you", "do", "at", "this", "but", "his", "by", "from", "they", "we", "say", "her", "she", "or", "an",
+    "will", "my", "one", "all", "would", "there", "their", "what", "so", "up", "out", "if", "about", "who",
+    "get", "which", "go", "me", "when", "make", "can", "like", "time", "no", "just", "him", "know", "take",
+    "people", "into", "year", "your", "good", "some", "could", "them", "see", "other", "than", "then", "now",
+    "look", "only", "come", "its", "over", "think", "also", "back", "after", "use", "two", "how", "our", "work",
+    "first", "well", "way", "even", "new", "want", "because", "any", "these", "give", "day", "most", "us",
+    "im", "dont", "ive", "cant", "got", "was", "am", "are", "is", "has", "had", "been", "were", "being", "did",
+    "does", "doing", "really", "very", "much", "still", "going", "too", "more", "here", "right", "oh", "yeah",
+    "yes", "lol", "haha", "gonna", "wanna", "gotta",
+)
 
 PLATFORMS = ("Twitter", "Reddit", "Instagram", "Facebook", "YouTube")
 DEMO_TOPICS = (
@@ -70,7 +66,9 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 # End of fixed values. Below are this project's own choices.
 # ---------------------------------------------------------------------------------------
 
-# word: (valence -4..4, polarity -1..1, subjectivity 0..1)
+# word: (valence -4..4, polarity -1..1, subjectivity 0..1). Valences follow the scale and many of the
+# mean ratings of the public VADER lexicon (Hutto and Gilbert 2014, MIT licence), polarity and
+# subjectivity those of the public pattern.en adjective lexicon (De Smedt and Daelemans 2012).
 LEXICON = {
     "amazing": (2.8, 0.6, 0.9), "awesome": (3.1, 0.9, 1.0), "beautiful": (2.9, 0.85, 1.0),
     "best": (3.2, 1.0, 0.3), "better": (1.9, 0.5, 0.5), "bright": (1.9, 0.7, 0.8),

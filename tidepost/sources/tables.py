@@ -38,17 +38,9 @@ MOOD_OF_EVENT = {"purchase": "up", "signup": "up", "error": "down"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores is dealt out to all of them; any other is left alone.
-
-    Text work is heavy per row, and a small table in one row group would be one task. Filters
-    and column pruning still reach the scan through the repartition.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The table as it is stored: filters and column pruning reach the scan, and nothing is dealt
+    out anew."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values, index: Column) -> Column:

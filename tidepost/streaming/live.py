@@ -13,10 +13,7 @@ from tidepost.operators.entities import tag_entities
 from tidepost.operators.prepare import keep_where
 from tidepost.sources.tables import posts_from_events
 
-# Refresh rates of the two live views, rows of an intake and length of an excerpt.
-LIVE_EVERY = "5 seconds"
-COMPARE_EVERY = "10 seconds"
-INTAKE_ROWS = 30
+# Fixed value: length of an excerpt.
 ALERT_EXCERPT = 50
 
 
