@@ -3,11 +3,10 @@
 A string of ``LENGTH`` bytes that occurs at several places has the same content around each of
 them, so the places can be brought together without sorting all suffixes of the corpus at once:
 
-1. Anchors. In every window of ``LENGTH`` bytes the shorter strings of ``CORE`` bytes with the
-   smallest hash are anchors; equal windows have equal anchors at equal places.
-2. Contexts. Around an anchor at ``p`` all windows that hold its core lie in ``p - REACH`` to
-   ``p + LENGTH``. Anchors whose core occurs once are dropped. Contexts that are equal are counted
-   and become one.
+1. Anchors. The anchor of a window of ``LENGTH`` bytes is the first of its strings of ``CORE``
+   bytes with the smallest hash; equal windows have equal anchors at equal places.
+2. Contexts. The windows of an anchor are consecutive, and its context is the bytes they cover.
+   Anchors whose core occurs once are dropped. Contexts that are equal are counted and become one.
 3. Suffix arrays. The different contexts of a core are sorted by two-stage sorting, and windows
    with a common prefix of ``LENGTH`` with a neighbour occur elsewhere. Cores with very many
    different contexts are first split: the windows in two halves, each half by the longer core
@@ -26,17 +25,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepost.llm.common import cut, map_rows
+from tidepost.llm.common import cut, map_rows, text_of
 from tidepost.llm.suffixes import common_prefixes, join_texts, suffix_array
 
 LENGTH = 400
 CORE = 200
 REACH = LENGTH - CORE
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 19
+#: Bits of a sliding key that hold the place; parts are shorter than two to this power.
+PLACE_BITS = np.uint64(21)
 #: Different contexts of a core that one suffix array takes; more are split.
-GROUP_CONTEXTS = 1000
+GROUP_CONTEXTS = 300
 #: Contexts of many cores that a task sorts together.
-BLOCK_CONTEXTS = 1500
+BLOCK_CONTEXTS = 600
 SEEN = 2_000_000
 
 ODD = 0x9E3779B97F4A7C15
@@ -67,28 +68,35 @@ class Roller:
         return out ^ (out >> np.uint64(29))
 
 
-def sliding(values: np.ndarray, width: int, best: np.ufunc, fill: int) -> np.ndarray:
-    """``best`` of every ``width`` consecutive values."""
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive values."""
     count = len(values) - width + 1
-    padded = np.full(-(-len(values) // width) * width, fill, np.uint64)
+    padded = np.full(-(-len(values) // width) * width, ~np.uint64(0), np.uint64)
     padded[: len(values)] = values
     rows = padded.reshape(-1, width)
-    ahead = best.accumulate(rows, axis=1).ravel()
-    behind = best.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[:count], ahead[width - 1 : width - 1 + count])
+    ahead = np.minimum.accumulate(rows, axis=1).ravel()
+    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:count], ahead[width - 1 : width - 1 + count])
 
 
-def anchors_of(data: bytes, bounds: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray]:
-    """Places and core hashes of the anchors of texts that stand in a row, ``bounds`` apart."""
+def anchors_of(data: bytes, bounds: np.ndarray, roller: Roller) -> tuple[np.ndarray, ...]:
+    """Places and core hashes of the anchors of texts that stand in a row, ``bounds`` apart, and
+    the first and last window of each, relative to it."""
     if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), none, none
     cores = roller.cores(np.frombuffer(data, np.uint8))
-    lowest = sliding(cores, REACH + 1, np.minimum, (1 << 64) - 1)
+    place = np.arange(len(cores), dtype=np.uint64)
+    anchor = sliding_least(cores >> PLACE_BITS << PLACE_BITS | place, REACH + 1)
+    anchor = (anchor & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
+    inside = np.ones(len(anchor), bool)
     for bound in bounds[1:-1]:  # windows do not cross texts
-        lowest[max(0, bound - LENGTH + 1) : bound] = 0
-    around = np.concatenate([np.zeros(REACH, np.uint64), lowest, np.zeros(REACH, np.uint64)])
-    places = np.flatnonzero(cores == sliding(around, REACH + 1, np.maximum, 0))
-    return places, cores[places]
+        inside[max(0, bound - LENGTH + 1) : bound] = False
+    windows = np.flatnonzero(inside)
+    anchor = anchor[windows]
+    edge = np.flatnonzero(np.diff(anchor, prepend=-1, append=-1))
+    places = anchor[edge[:-1]]
+    return places, cores[places], windows[edge[:-1]] - places, windows[edge[1:] - 1] - places
 
 
 def encoded(batch: pa.RecordBatch, column: int) -> list[bytes]:
@@ -117,88 +125,81 @@ def parts(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, list[tuple[in
         yield b"".join(held), np.cumsum([0, *map(len, held)]), owners
 
 
-def identity(text: bytes) -> int:
-    return int.from_bytes(xxhash.xxh3_64_digest(text), "little", signed=True)
+def signed(digest: bytes) -> int:
+    return int.from_bytes(digest, "little", signed=True)
 
 
-def context(text: bytes, place: int) -> tuple[int, bytes]:
-    """Bytes around an anchor, and how many of them are before it."""
-    start = max(0, place - REACH)
-    return place - start, text[start : place + LENGTH]
+def context_hash(lead: int, data: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(data, seed=lead + LENGTH) - (1 << 63)
 
 
-def context_hash(before: int, data: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(data, seed=before) - (1 << 63)
+def texts_of(docs: DataFrame, *columns: str) -> DataFrame:
+    """Texts with their identity: a hash and the number of bytes."""
+    text = text_of()
+    return docs.select(
+        *columns, text.alias("text"), F.xxhash64(text).alias("th"), F.octet_length(text).cast("bigint").alias("n")
+    )
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """``core, ctx, th, n, place``: the anchors of all texts; a task sends equal texts twice at most."""
-    names = ["core", "ctx", "th", "n", "place"]
+    """``core, ctx, th, n, place, first, last``: the anchors of all texts; a task sends equal texts
+    twice at most."""
+    names = ["core", "ctx", "th", "n", "place", "first", "last"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, seen = Roller(), {}
         for batch in batches:
-            texts = []
-            for text in encoded(batch, 0):
-                key = (identity(text), len(text))
+            texts, ids = [], []
+            for text, key in zip(encoded(batch, 0), zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True), strict=True):
                 if seen.get(key, 0) < 2:
                     texts.append(text)
+                    ids.append(key)
                 if len(seen) < SEEN or key in seen:
                     seen[key] = seen.get(key, 0) + 1
+            hashes = np.array([i[0] for i in ids], np.int64)
+            lengths = np.array([i[1] for i in ids], np.int64)
             for data, bounds, owners in parts(texts):
-                places, cores = anchors_of(data, bounds, roller)
+                places, cores, first, last = anchors_of(data, bounds, roller)
                 part = np.searchsorted(bounds, places, side="right") - 1
-                numbers = np.array([o[0] for o in owners])[part]
+                number = np.array([o[0] for o in owners])[part]
                 offsets = places - bounds[part] + np.array([o[1] for o in owners])[part]
-                row_of = {i: (identity(texts[i]), len(texts[i])) for i in {o[0] for o in owners}}
-                ctx = [context_hash(*context(texts[i], p)) for i, p in zip(numbers.tolist(), offsets.tolist(), strict=True)]
-                ids = [row_of[i] for i in numbers.tolist()]
-                columns = [
-                    pa.array(cores.view(np.int64)),
-                    pa.array(ctx, pa.int64()),
-                    pa.array([i[0] for i in ids], pa.int64()),
-                    pa.array([i[1] for i in ids], pa.int64()),
-                    pa.array(offsets),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                spans = zip(first.tolist(), (places + first).tolist(), (places + last + LENGTH).tolist(), strict=True)
+                ctx = [context_hash(lead, data[a:b]) for lead, a, b in spans]
+                columns = [cores.view(np.int64), np.array(ctx, np.int64), hashes[number], lengths[number], offsets, first, last]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    return map_rows(docs.select("text"), "core bigint, ctx bigint, th bigint, n bigint, place bigint", work)
+    rows = texts_of(docs.where(F.octet_length("text") >= LENGTH))
+    return map_rows(rows.select("text", "th", "n"), ", ".join(f"{c} bigint" for c in names), work)
 
 
 def contexts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """``core, ctx, lead, data`` for the anchors of ``chosen``; ``lead`` is where the data begin
     relative to the anchor."""
-    lists = chosen.groupBy("th", "n").agg(F.collect_list(F.struct("core", "ctx", "place")).alias("wanted"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = encoded(batch, 0)
-            keys = [pa.array([identity(t) for t in texts], pa.int64()), pa.array([len(t) for t in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*keys, batch.column(0)], ["th", "n", "text"])
-
-    texts = map_rows(docs.select("text").where(F.octet_length("text") >= LENGTH), "th bigint, n bigint, text string", keyed)
+    wanted = F.struct("core", "ctx", "place", "first", "last")
+    lists = chosen.groupBy("th", "n").agg(F.collect_list(wanted).alias("wanted"))
+    texts = texts_of(docs.where(F.octet_length("text") >= LENGTH))
     joined = texts.join(lists.hint("merge"), ["th", "n"]).select("text", "wanted")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
             rows = []
             for text, wanted in zip(encoded(batch, 0), batch.column(1).to_pylist(), strict=True):
                 for w in wanted:
-                    before, data = context(text, w["place"])
-                    rows.append((w["core"], w["ctx"], -before, data))
-                    if len(rows) >= 20_000:
-                        yield rows_batch(rows, kinds)
+                    data = text[w["place"] + w["first"] : w["place"] + w["last"] + LENGTH]
+                    rows.append((w["core"], w["ctx"], w["first"], data))
+                    if len(rows) >= 10_000:
+                        yield rows_batch(rows)
                         rows = []
-            yield rows_batch(rows, kinds)
+            yield rows_batch(rows)
 
-    def rows_batch(rows: list[tuple], kinds) -> pa.RecordBatch:
+    def rows_batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [()] * 4
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, ["core", "ctx", "lead", "data"])
 
     found = map_rows(joined, "core bigint, ctx bigint, lead bigint, data binary", work)
-    return found.groupBy("core", "ctx").agg(F.first("lead").alias("lead"), F.first("data").alias("data"))
+    return found.dropDuplicates(["core", "ctx"])
 
 
 def repeated_windows(groups: np.ndarray, leads: np.ndarray, data: list[bytes], lows: np.ndarray, highs: np.ndarray):
@@ -267,8 +268,8 @@ def halves(rows: DataFrame) -> DataFrame:
                         continue
                     data = r["data"][begin - r["lead"] : end - r["lead"]]
                     shared = data[high - begin : low + LENGTH - begin]
-                    gk = identity(b"%d:%d:%d:" % (r["gk"], low, high) + shared)
-                    out.append((r["core"], r["ctx"], gk, context_hash(begin - low, data), begin, low, high, data))
+                    gk = signed(xxhash.xxh3_64_digest(b"%d:%d:%d:" % (r["gk"], low, high) + shared))
+                    out.append((r["core"], r["ctx"], gk, context_hash(begin, data), begin, low, high, data))
             columns = list(zip(*out, strict=True)) or [()] * 8
             kinds = [pa.int64()] * 7 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -278,7 +279,12 @@ def halves(rows: DataFrame) -> DataFrame:
 
 
 def covered_windows(rows: DataFrame) -> DataFrame:
-    """``core, ctx, first, last``: windows of contexts (``core, ctx, lead, data``) that occur elsewhere."""
+    """``core, ctx, first, last``: windows of contexts (``core, ctx, lead, data``) that occur elsewhere.
+
+    A group of few contexts is sorted; a larger one goes on as its halves. Parts that are equal
+    are covered as a whole, and one of them stands for all from there on, so what is left of a
+    group shrinks where it agrees.
+    """
     rows = rows.select(
         "core", "ctx", F.col("core").alias("gk"), F.col("ctx").alias("fk"), "lead",
         F.lit(-REACH).cast("bigint").alias("low"), F.lit(0).cast("bigint").alias("high"), "data",
@@ -286,19 +292,22 @@ def covered_windows(rows: DataFrame) -> DataFrame:
     out = []
     while True:
         kinds = rows.groupBy("gk", "fk").agg(F.count("*").alias("copies"))
-        groups = kinds.groupBy("gk").agg(F.count("*").alias("kinds"))
-        shared = rows.join(kinds.where("copies > 1").select("gk", "fk"), ["gk", "fk"], "left_semi")
-        out.append(
-            shared.select(
-                "core", "ctx", F.greatest("low", "lead").alias("first"),
-                F.least(F.col("high"), F.col("lead") + F.octet_length("data") - LENGTH).alias("last"),
-            )
-        )
-        marked = cut(rows.join(groups.where("kinds > 1"), "gk"), "context-groups")
+        kinds = cut(kinds, "context-copies")
+        if out:  # contexts themselves are there once
+            shared = rows.join(kinds.where("copies > 1").hint("merge"), ["gk", "fk"], "left_semi")
+            out.append(
+                shared.select(
+                    "core", "ctx", F.greatest("low", "lead").alias("first"),
+                    F.least(F.col("high"), F.col("lead") + F.octet_length("data") - LENGTH).alias("last"),
+                )
+            )
+        groups = cut(kinds.groupBy("gk").agg(F.count("*").alias("kinds")).where("kinds > 1"), "context-groups")
+        marked = rows.dropDuplicates(["gk", "fk"]) if out else rows
+        marked = cut(marked.join(groups.hint("merge"), "gk"), "grouped-contexts")
         sortable = marked.where(F.col("kinds") <= GROUP_CONTEXTS)
-        once = sortable.groupBy("gk", "fk").agg(*[F.first(c).alias(c) for c in ("lead", "low", "high", "data")])
-        found = cut(sort_groups(once), "repeated-windows")
-        out.append(sortable.select("core", "ctx", "gk", "fk").join(found, ["gk", "fk"]).select("core", "ctx", "first", "last"))
+        found = cut(sort_groups(sortable.drop("kinds")), "repeated-windows")
+        sorted_out = sortable.select("core", "ctx", "gk", "fk").join(found.hint("merge"), ["gk", "fk"])
+        out.append(sorted_out.select("core", "ctx", "first", "last"))
         large = marked.where(F.col("kinds") > GROUP_CONTEXTS)
         if large.isEmpty():
             break
@@ -312,22 +321,21 @@ def covered_windows(rows: DataFrame) -> DataFrame:
 def covered_places(docs: DataFrame) -> DataFrame:
     """``th, n, spans``: the byte ranges of each text covered by windows that occur elsewhere."""
     found = cut(anchors(docs), "anchors")
-    again = found.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core")
+    again = cut(found.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core"), "repeated-cores")
     found = cut(found.join(again.hint("merge"), "core", "left_semi"), "repeated-anchors")
-    kinds = found.groupBy("core", "ctx").agg(F.count("*").alias("times"), *[F.first(c).alias(c) for c in ("th", "n", "place")])
+    own = ("th", "n", "place", "first", "last")
+    kinds = found.groupBy("core", "ctx").agg(F.count("*").alias("times"), *[F.first(c).alias(c) for c in own])
     kinds = cut(kinds, "context-kinds")
-    mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
-    chosen = kinds.join(mixed, "core", "left_semi").select("core", "ctx", "th", "n", "place")
+    mixed = cut(kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core"), "mixed-cores")
+    chosen = kinds.join(mixed.hint("merge"), "core", "left_semi").select("core", "ctx", *own)
     windows = covered_windows(cut(contexts(docs, chosen), "contexts"))
-    # A context that occurs twice is covered as a whole, as far as it reaches in its text.
-    whole = kinds.where("times > 1").select(
-        "core", "ctx", F.lit(-REACH).cast("bigint").alias("first"), F.lit(0).cast("bigint").alias("last")
-    )
+    # A context that occurs twice is covered as a whole.
+    whole = kinds.where("times > 1").select("core", "ctx", "first", "last")
     windows = cut(windows.unionByName(whole), "covered-windows")
-    start = F.greatest(F.col("place") + F.col("first"), F.lit(0)).alias("start")
-    end = F.least(F.col("place") + F.col("last") + LENGTH, F.col("n")).alias("end")
-    spans = found.join(windows.hint("merge"), ["core", "ctx"]).select("th", "n", F.struct(start, end).alias("span"))
-    return spans.groupBy("th", "n").agg(F.collect_set("span").alias("spans"))
+    windows = windows.select("core", "ctx", F.col("first").alias("from"), F.col("last").alias("to"))
+    span = F.struct((F.col("place") + F.col("from")).alias("start"), (F.col("place") + F.col("to") + LENGTH).alias("end"))
+    spans = found.select("core", "ctx", "th", "n", "place").join(windows.hint("merge"), ["core", "ctx"])
+    return spans.groupBy("th", "n").agg(F.collect_set(span).alias("spans"))
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -349,14 +357,7 @@ def cut_documents(docs: DataFrame) -> DataFrame:
     empty table gives no rows; other columns are not looked at.
     """
     marks = cut(covered_places(docs), "covered-places")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [identity(t) for t in encoded(batch, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], ["doc_id", "text", "th"])
-
-    rows = map_rows(rows, "doc_id bigint, text string, th bigint", keyed).withColumn("n", F.octet_length("text").cast("bigint"))
+    rows = texts_of(docs, "doc_id").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     joined = rows.join(marks.hint("merge"), ["th", "n"], "left").select("doc_id", "text", "spans")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
