@@ -83,7 +83,8 @@ def later_spans(found: DataFrame) -> DataFrame:
     Spark splits where one span is very frequent.
     """
     repeated = found.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    later = found.join(repeated, ["h1", "h2"]).where((F.col("id") != F.col("first_id")) | ~F.col("own_first"))
+    repeated = cut(repeated, "repeated-spans")  # Spark splits a hot key only between plain exchanges
+    later = found.join(repeated.hint("merge"), ["h1", "h2"]).where((F.col("id") != F.col("first_id")) | ~F.col("own_first"))
     return later.groupBy("id", "th").agg(F.collect_list(F.struct("at", "many")).alias("spans"))
 
 
