@@ -29,22 +29,58 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+#: Words whose parts (runs of letters, single digits, runs of marks) are looked up on their own.
+#: Left out are the apostrophe, which begins contractions, and what begins a special token.
+PLAIN = re.compile("[A-Za-z0-9À-ÖØ-öø-ÿ!-&(-/:;=-@\\[-`{-~]+")
+PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+LETTERS = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+#: So many plain words are encoded both ways before parts are trusted.
+PROBES = 200
+
+
 class WordIds(dict):
-    """Little-endian ids of a white-space delimited word, encoded on first sight."""
+    """Little-endian ids of a white-space delimited word, encoded on first sight.
+
+    Plain words are put together from parts, which repeat far more often than words; whether the
+    tokenizer agrees is tried on the first words, and if it does not, words are encoded whole.
+    """
 
     def __init__(self, tokenizer) -> None:
+        from tokenizers.pre_tokenizers import ByteLevel
+
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in LETTERS})
+        self.parts: dict[str, bytes] = {}
+        self.probes, self.by_parts = PROBES, True
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= WORDS_KEPT:
+                self.parts.clear()
+            tokens = self.model.tokenize(part.translate(self.bytes_of))
+            ids = self.parts[part] = np.array([t.id for t in tokens], "<u4").tobytes()
+        return ids
+
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_KEPT:
             self.clear()
-        ids = self.encode(word)
-        if len(word) < 64:
-            self[word] = ids
+        if len(word) >= 64:
+            return self.encode(word)
+        if self.by_parts and PLAIN.fullmatch(word):
+            ids = b"".join(map(self.part, PARTS.findall(word.lower())))
+            if self.probes:
+                self.probes -= 1
+                self.by_parts = ids == self.encode(word)
+                ids = self.encode(word)
+        else:
+            ids = self.encode(word)
+        self[word] = ids
         return ids
 
     def of_text(self, text: str) -> bytes:
