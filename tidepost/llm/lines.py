@@ -48,7 +48,8 @@ def later_windows(found: DataFrame) -> DataFrame:
     """
     place = F.struct("doc_id", "th", "at")
     repeated = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = found.join(repeated, ["h1", "h2"]).where(~F.struct("doc_id", "th", "at").eqNullSafe(F.col("first")))
+    repeated = cut(repeated, "repeated-windows")  # Spark splits a hot key only between plain exchanges
+    later = found.join(repeated.hint("merge"), ["h1", "h2"]).where(~F.struct("doc_id", "th", "at").eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "th").agg(F.collect_set("at").alias("starts"))
 
 
@@ -63,17 +64,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     marks = cut(later_windows(windows(docs)), "later-windows")
     docs = docs.drop("n_lines", "n_removed")
     left = docs.withColumn("_th", text_hash())
-    right = marks.select(F.col("doc_id").alias("_id"), F.col("th").alias("_mark"), "starts")
-    joined = left.join(right, left["doc_id"].eqNullSafe(right["_id"]) & (left["_th"] == right["_mark"]), "left")
+    right = marks.select(F.col("doc_id").alias("_id"), F.col("th").alias("_mark"), F.col("starts").alias("_starts"))
+    # A merge join at every size: marks grow with the corpus and are never broadcast.
+    joined = left.join(right.hint("merge"), left["doc_id"].eqNullSafe(right["_id"]) & (left["_th"] == right["_mark"]), "left")
     lines = F.split(F.col("text"), "\n", -1)
 
     def thin(lines: Column) -> Column:
-        covered = F.flatten(F.transform("starts", lambda s: F.array(*[s + i for i in range(WINDOW)])))
+        covered = F.flatten(F.transform("_starts", lambda s: F.array(*[s + i for i in range(WINDOW)])))
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
         text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
         return F.struct(text.alias("text"), (F.size(lines) - F.size(kept)).alias("n_removed"))
 
-    thinned = F.when(F.col("starts").isNotNull(), F.get(F.transform(F.array(lines), thin), F.lit(0)))
+    thinned = F.when(F.col("_starts").isNotNull(), F.get(F.transform(F.array(lines), thin), F.lit(0)))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
     joined = joined.select(*docs.columns, n_lines.cast("bigint").alias("n_lines"), thinned.alias("_thin"))
     text = F.when(F.col("_thin").isNull(), F.col("text")).otherwise(F.col("_thin.text")).alias("text")
