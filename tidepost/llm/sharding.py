@@ -71,18 +71,18 @@ def directory(keys: DataFrame, max_bytes: int) -> list[tuple[int, DataFrame]]:
             fits = fits | (F.col("level") == depth)
         found = (
             levels.select("cell", "level", "shard")
-            .join(sums.where(fits), ["level", "shard"])
+            .join(sums.where(fits).hint("merge"), ["level", "shard"])
             .groupBy("cell")
             .agg(F.min(F.struct("level", "shard", "shard_bytes", "shard_docs")).alias("leaf"))
             .select("cell", "leaf.shard", "leaf.shard_bytes", "leaf.shard_docs")
         )
         found = cut(found, "directory")
         tables.append((depth, found))
-        open_cells = cells.join(found, "cell", "left_anti")
+        open_cells = cells.join(found.hint("merge"), "cell", "left_anti")
         if depth == ALL_BITS or open_cells.isEmpty():
             return tables
         rest = rest.join(
-            open_cells.select("cell"), F.substring(rest["hash_bits"], 1, depth) == F.col("cell"), "left_semi"
+            open_cells.select("cell").hint("merge"), F.substring(rest["hash_bits"], 1, depth) == F.col("cell"), "left_semi"
         )
         low, depth = depth + 1, depth + 2 * SLACK_BITS
 
@@ -94,7 +94,8 @@ def assign(rows: DataFrame, tables: list[tuple[int, DataFrame]]) -> DataFrame:
     out, seen = rows.select(*kept), []
     for i, (depth, cells) in enumerate(tables):
         cells = cells.select(F.col("cell").alias(f"_cell{i}"), *[F.col(c).alias(f"_{c}{i}") for c in names])
-        out = out.join(cells, F.substring("hash_bits", 1, depth) == F.col(f"_cell{i}"), "left")
+        # The directory grows with the data, so it is never broadcast.
+        out = out.join(cells.hint("merge"), F.substring("hash_bits", 1, depth) == F.col(f"_cell{i}"), "left")
         seen.append(i)
     return out.select(*kept, *[F.coalesce(*[F.col(f"_{c}{i}") for i in seen]).alias(c) for c in names])
 
