@@ -68,8 +68,11 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parity of the shingles in each of at least as many cells as there are shingles."""
-    bits = max(64, 1 << math.ceil(math.log2(max(1, len(shingles)))))
+    """Parity of the shingles in each of at least four times as many cells as there are shingles.
+
+    With so many cells few differing shingles share one, so the bound is close.
+    """
+    bits = max(64, 1 << math.ceil(math.log2(max(1, 4 * len(shingles)))))
     cells = (mixed(shingles * M1) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(cells, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -84,6 +87,14 @@ def differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def folded(sketches: list[bytes], width: int) -> np.ndarray:
+    """Sketches as rows of ``width`` 64-bit words; wider ones are folded, which keeps the bound."""
+    out = np.zeros((len(sketches), width), np.uint64)
+    for row, held in zip(out, sketches, strict=True):
+        row[:] = np.bitwise_xor.reduce(np.frombuffer(held, np.uint64).reshape(-1, width), axis=0)
+    return out
+
+
 def may_link(n_a, n_b, different):
     """Whether sets of these sizes with so many differing shingles, or more, can link."""
     # overlap = (a + b - d) / 2 and union = (a + b + d) / 2; 4 overlap >= 3 union.
@@ -286,11 +297,24 @@ def frequent_entries(entries: DataFrame) -> DataFrame:
 
 def star_pairs(often: DataFrame) -> DataFrame:
     """Each row of a frequent column with one row of the column: ``a, b``."""
-    pivots = often.groupBy("tok").agg(F.min("sid").alias("pivot"))
-    pairs = often.join(pivots, "tok").where("sid != pivot")
+    # Spark splits a hot key only between plain exchanges, so what is joined is written first.
+    pivots = cut(often.groupBy("tok").agg(F.min("sid").alias("pivot")), "pivots")
+    pairs = often.join(pivots.hint("merge"), "tok").where("sid != pivot")
     return pairs.select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
 
 
+def small_sketches(nodes: DataFrame) -> DataFrame:
+    """``sid, n, sketch`` with sketches folded to about as many cells as shingles: they travel with
+    every candidate pair, the close ones only with rows of frequent columns."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            small = [folded([held], max(1, len(held) // 32))[0].tobytes() for held in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(small, pa.binary())], ["sid", "n", "sketch"])
+
+    return map_rows(nodes.select("sid", "n", "sketch"), "sid bigint, n bigint, sketch binary", work)
+
+
 def with_sketches(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs ``a, b`` that size and sketch leave possible."""
     a = sketches.select(F.col("sid").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x"))
@@ -355,11 +379,12 @@ def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def across(often: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+def across(often: DataFrame, labels: DataFrame, sketches: DataFrame, nearest_only: bool = False) -> DataFrame:
     """Pairs ``a, b`` of different components within a frequent column that size and sketch allow.
 
     In each column the rows outside its largest component meet all rows, in tasks of at most two
-    chunks; a column within one component is left out. Tasks give only pairs that may link.
+    chunks; a column within one component is left out. Tasks give only pairs that may link, or
+    with ``nearest_only`` one of them for each row and component that it meets.
     """
     marks = labels.select(F.col("node").alias("sid"), "label")
     rows = often.join(marks, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
@@ -367,7 +392,8 @@ def across(often: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFram
     main = parts.groupBy("tok").agg(
         F.count("*").alias("k"), F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("label", F.struct("m", "label")).alias("main")
     )
-    rows = rows.join(main.where("k > 1"), "tok").join(sketches.select("sid", "sketch"), "sid")
+    main = cut(main.where("k > 1"), "main-components")
+    rows = rows.join(main.hint("merge"), "tok").join(sketches.select("sid", "sketch"), "sid")
     chunks = F.ceil(F.col("all") / CHUNK_ROWS).cast("int")
     minor_chunks = F.ceil((F.col("all") - F.col("most")) / CHUNK_ROWS).cast("int")
     own = F.xxhash64("sid", "tok")
@@ -380,17 +406,29 @@ def across(often: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFram
     )
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_a, out_b = [], []
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if left.num_rows and right.num_rows:
+            sketches = [t.column("sketch").to_pylist() for t in (left, right)]
+            width = min(len(held) for part in sketches for held in part) // 8
+            x, y = (folded(part, width) for part in sketches)
             sid, n, label = (np.asarray(left.column(c)) for c in ("sid", "n", "label"))
-            held = left.column("sketch").to_pylist()
-            for row in right.to_pylist():
-                near = (4 * np.minimum(n, row["n"]) >= 3 * np.maximum(n, row["n"])) & (label != row["label"])
-                for at in np.flatnonzero(near):
-                    if may_link(int(n[at]), row["n"], differing(held[at], row["sketch"])):
-                        out_a.append(min(int(sid[at]), row["sid"]))
-                        out_b.append(max(int(sid[at]), row["sid"]))
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+            own_sid, own_n, own_label = (np.asarray(right.column(c)) for c in ("sid", "n", "label"))
+            step = max(1, 2_000_000 // (len(x) * width))
+            for at in range(0, len(y), step):
+                part = slice(at, at + step)
+                apart = np.bitwise_count(x[None, :, :] ^ y[part, None, :]).sum(2, dtype=np.int64)
+                m = own_n[part, None]
+                near = (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (label != own_label[part, None])
+                row, place = np.nonzero(near & may_link(n, m, apart))
+                if nearest_only:
+                    order = np.lexsort((apart[row, place], label[place], row))
+                    row, place = row[order], place[order]
+                    first = np.ones(len(row), bool)
+                    first[1:] = (row[1:] != row[:-1]) | (label[place][1:] != label[place][:-1])
+                    row, place = row[first], place[first]
+                out_a.append(np.minimum(own_sid[part][row], sid[place]))
+                out_b.append(np.maximum(own_sid[part][row], sid[place]))
+        return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
 
     found = every.groupBy("tok", "i", "j").cogroup(minor.groupBy("tok", "i", "j")).applyInArrow(work, "a bigint, b bigint")
     return found.distinct()
@@ -420,22 +458,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     entries = cut(entries, "prefix-entries")
     often = cut(frequent_entries(entries.where("block < 0")), "frequent-entries")
     candidates = rare_pairs(entries.where("block >= 0")).select("a", "b").unionByName(star_pairs(often)).distinct()
-    candidates = cut(with_sketches(candidates, nodes), "candidates")
+    candidates = cut(with_sketches(candidates, cut(small_sketches(nodes), "small-sketches")), "candidates")
     wanted = candidates.select(F.col("a").alias("sid")).unionByName(candidates.select(F.col("b").alias("sid"))).distinct()
     sets = cut(whole_sets(docs, nodes.join(wanted, "sid", "left_semi").select("sid", "doc_id")), "whole-sets")
     # One link for each row first; then only what lies across components.
     spanning = candidates.groupBy("b").agg(F.min("a").alias("a"))
     found = cut(links(spanning, sets), "links")
     labels = cut(components(found), "labels")
-    found = found.unionByName(links(labelled(candidates, labels), sets))
+    found = found.unionByName(cut(links(labelled(candidates, labels), sets), "links"))
     labels = cut(components(found), "labels")
-    rest = cut(across(often, labels, nodes), "across")
-    if not rest.isEmpty():
-        rest = labelled(rest, labels)
+    # In frequent columns first the nearest row of each other component, then all that are left.
+    for nearest_only in (True, False):
+        rest = cut(across(often, labels, nodes, nearest_only), "across")
+        if rest.isEmpty():
+            break
         more = rest.select(F.col("a").alias("sid")).unionByName(rest.select(F.col("b").alias("sid"))).distinct()
-        more = more.join(sets, "sid", "left_anti")
-        sets = sets.unionByName(whole_sets(docs, nodes.join(more, "sid", "left_semi").select("sid", "doc_id")))
-        found = found.unionByName(links(rest, sets))
+        more = more.join(sets.select("sid").hint("merge"), "sid", "left_anti")
+        more = cut(nodes.join(more.hint("merge"), "sid", "left_semi").select("sid", "doc_id"), "more-rows")
+        if not more.isEmpty():
+            sets = sets.unionByName(cut(whole_sets(docs, more), "whole-sets"))
+        found = found.unionByName(cut(links(rest, sets), "links"))
         labels = cut(components(found), "labels")
     node = nodes.select("sid", "doc_id").join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left")
     node = node.withColumn("label", F.coalesce("label", "sid"))
