@@ -454,8 +454,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     nodes = cut(nodes, "nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(0.26 * total / BLOCK_ENTRIES))
+    # Made once for frequent columns and once for the others: reading texts again costs less than
+    # keeping the entries, which are the largest intermediate result.
     entries = prefix_entries(docs, frequent, blocks)
-    entries = cut(entries, "prefix-entries")
     often = cut(frequent_entries(entries.where("block < 0")), "frequent-entries")
     candidates = rare_pairs(entries.where("block >= 0")).select("a", "b").unionByName(star_pairs(often)).distinct()
     candidates = cut(with_sketches(candidates, cut(small_sketches(nodes), "small-sketches")), "candidates")
