@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tidepost.llm import contamination, graph_search, hashing, ngram_join, packing, personal, suffixes
+from tidepost.llm import contamination, graph_search, hashing, ngram_join, packing, personal, sentences, suffixes
 from tidepost.llm.components import components
 from tests.llm.tables import prose, words
 
@@ -152,3 +152,20 @@ def test_equal_vectors_beyond_the_result(spark):
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in graph_search.nearest(vectors(spark, rows)).collect()}
     assert [got[(0, k)] for k in range(1, 11)] == list(range(1, 11))
     assert [got[(200, k)] for k in range(1, 11)] == list(range(10))
+
+
+def test_passages_glued_on_both_sides(spark):
+    """51 words without an end of a sentence around them, or in them."""
+    rng, docs = random.Random(7), []
+    for k in range(40):
+        passage = [w + ("," if rng.random() < 0.05 else "") for w in words(900 + k, 51)]
+        for copy in (0, 1000):
+            around = [" ".join(words(2000 + 2 * k + copy + side, 15)) for side in (0, 1)]
+            docs.append((k + copy, f"{around[0]} {' '.join(passage)} {around[1]}"))
+    texts = dict(docs)
+    assert all(b"".join(sentences.units(t.encode(), True)) == t.encode() for t in [*texts.values(), " a, b  ", "\n , ", ""])
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = {r["doc_id"]: r for r in sentences.dedup_sentences(df, clauses=True).collect()}
+    for k in range(40):
+        assert rows[k]["text"] == texts[k] and rows[k + 1000]["n_removed"] >= 2
+        assert len(rows[k + 1000]["text"].split()) <= len(texts[k + 1000].split()) - 20

@@ -4,6 +4,10 @@ A span is the shortest run of at least two consecutive sentences that has at lea
 one starts at every sentence. Spans are hashed and compared across the corpus; every sentence
 that a repeated span covers goes, but for the span's first occurrence (the smallest document id,
 and in it the first position).
+
+The units are sentences, as the query's SQL has them. A sentence that is glued to unfinished text
+is a unit of its own there, so a repeat of one long sentence is not seen; ``clauses`` makes units
+of a few words that end inside the sentence, wherever it stands.
 """
 
 from __future__ import annotations
@@ -20,15 +24,38 @@ from pyspark.sql import functions as F
 from tidepost.llm.common import cut, map_rows, text_hash
 
 SENTENCE = re.compile(rb"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
+CLAUSE = re.compile(rb"[^,;:|]*[,;:|]+|[^,;:|]+")
+WORD = re.compile(rb"\s*\S+(?:\s+$)?|\s+")
+#: A clause ends at one word of so many, chosen by its bytes, and at this number of words.
+WORD_ENDS = 4
+CLAUSE_WORDS = 10
 SPACE = b" \t\n\r\x0b\x0c"
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 NO_ID = -(1 << 63)
 
 
-def spans_of(text: bytes) -> list[tuple[int, int, bytes]]:
-    """(first sentence, number of sentences, hash) of every span of a text."""
-    sentences = [s.strip(SPACE) for s in SENTENCE.findall(text)]
+def units(text: bytes, clauses: bool = False) -> list[bytes]:
+    """The sentences of a text, or with ``clauses`` parts of them of at most ten words."""
+    sentences = SENTENCE.findall(text)
+    if not clauses:
+        return sentences
+    out = []
+    for clause in (c for s in sentences for c in CLAUSE.findall(s)):
+        held: list[bytes] = []
+        for word in WORD.findall(clause):
+            held.append(word)
+            if len(held) == CLAUSE_WORDS or xxhash.xxh3_64_intdigest(word.strip(SPACE)) % WORD_ENDS == 0:
+                out.append(b"".join(held))
+                held = []
+        if held:
+            out.append(b"".join(held))
+    return out
+
+
+def spans_of(text: bytes, clauses: bool = False) -> list[tuple[int, int, bytes]]:
+    """(first unit, number of units, hash) of every span of a text."""
+    sentences = [s.strip(SPACE) for s in units(text, clauses)]
     words = [len(s.split()) for s in sentences]
     out, end, held = [], 0, 0
     for at in range(len(sentences)):
@@ -42,7 +69,7 @@ def spans_of(text: bytes) -> list[tuple[int, int, bytes]]:
     return out
 
 
-def spans(docs: DataFrame) -> DataFrame:
+def spans(docs: DataFrame, clauses: bool = False) -> DataFrame:
     """``id, th, at, many, own_first, h1, h2``: the spans of each document."""
     names = ["id", "th", "at", "many", "own_first", "h1", "h2"]
 
@@ -50,7 +77,7 @@ def spans(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, marks, places, digests, first = [], [], [], [], []
             for doc_id, th, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-                found = spans_of((text.as_py() or "").encode("utf-8", "surrogatepass"))
+                found = spans_of((text.as_py() or "").encode("utf-8", "surrogatepass"), clauses)
                 seen: set[bytes] = set()
                 for at, many, digest in found:
                     places.append((at, many))
@@ -88,15 +115,16 @@ def later_spans(found: DataFrame) -> DataFrame:
     return later.groupBy("id", "th").agg(F.collect_list(F.struct("at", "many")).alias("spans"))
 
 
-def dedup_sentences(docs: DataFrame) -> DataFrame:
+def dedup_sentences(docs: DataFrame, clauses: bool = False) -> DataFrame:
     """All documents with ``text`` thinned, and ``n_sentences``, ``n_removed``.
 
     Texts without two sentences and twenty words stay as they are; a null text stays null with no
     sentence. Null ids come first in the order of documents. Rows that share an id are not
     compared with each other, each only with other documents and with itself. Columns named
-    ``n_sentences`` and ``n_removed`` are replaced; an empty table stays empty.
+    ``n_sentences`` and ``n_removed`` are replaced; an empty table stays empty. With ``clauses`` the
+    units compared, removed and counted are clauses of at most ten words.
     """
-    marks = cut(later_spans(cut(spans(docs), "spans")), "later-spans")
+    marks = cut(later_spans(cut(spans(docs, clauses), "spans")), "later-spans")
     docs = docs.drop("n_sentences", "n_removed")
     left = docs.withColumns({"_i": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), "_th": text_hash()})
     right = marks.select(F.col("id").alias("_id"), F.col("th").alias("_mark"), F.col("spans").alias("_spans"))
@@ -111,7 +139,7 @@ def dedup_sentences(docs: DataFrame) -> DataFrame:
             for value, covered in zip(batch.column(at), batch.column(len(names)), strict=True):
                 text, spans = value.as_py(), covered.as_py()
                 data = (text or "").encode("utf-8", "surrogatepass")
-                sentences = SENTENCE.findall(data)
+                sentences = units(data, clauses)
                 keep = np.ones(len(sentences), bool)
                 for span in spans or ():
                     keep[span["at"] : span["at"] + span["many"]] = False
