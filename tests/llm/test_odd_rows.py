@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidepost.llm import contamination, languages, lines, ngram_join, packing, personal, sentences, sharding, substrings
 from tidepost.llm.queries import word_tokenizer
 from tests.llm import brute
-from tests.llm.tables import no_documents, odd_documents, odd_texts
+from tests.llm.tables import no_documents, odd_documents, odd_texts, prose
 
 IDS = Counter(i for i, _ in odd_texts())
 
@@ -58,6 +58,14 @@ def test_sentence_spans_against_brute_force(spark):
     assert {r["doc_id"]: r["text"] for r in sentences.dedup_sentences(df).collect()} == brute.sentences(docs)
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_sentence_spans_of_rows_that_share_an_id(spark, doc_id):
+    shared = prose(2, 120)
+    docs = [(doc_id, prose(20 + k, 45) + "\n" + shared + "\n" + prose(40 + k, 45)) for k in range(6)]
+    rows = sentences.dedup_sentences(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert len(rows) == 6 and sorted(r["n_removed"] > 0 for r in rows) == [False] + [True] * 5
+
+
 @pytest.mark.parametrize("contexts", [1000, 2])
 def test_substrings(odd, monkeypatch, contexts):
     monkeypatch.setattr(substrings, "GROUP_CONTEXTS", contexts)

@@ -2,8 +2,8 @@
 
 A span is the shortest run of at least two consecutive sentences that has at least twenty words;
 one starts at every sentence. Spans are hashed and compared across the corpus; every sentence
-that a repeated span covers goes, but for the span's first occurrence (the smallest document id,
-and in it the first position).
+that a repeated span covers goes, but for the span's first occurrence (the smallest document id, a
+hash of the text among rows that share it, and then the first position).
 
 The units are sentences, as the query's SQL has them. A sentence that is glued to unfinished text
 is a unit of its own there, so a repeat of one long sentence is not seen; ``clauses`` makes units
@@ -70,36 +70,33 @@ def spans_of(text: bytes, clauses: bool = False) -> list[tuple[int, int, bytes]]
 
 
 def spans(docs: DataFrame, clauses: bool = False) -> DataFrame:
-    """``id, th, at, many, own_first, h1, h2``: the spans of each document."""
-    names = ["id", "th", "at", "many", "own_first", "h1", "h2"]
+    """``id, th, at, many, h1, h2``: the spans of each document."""
+    names = ["id", "th", "at", "many", "h1", "h2"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks, places, digests, first = [], [], [], [], []
+            ids, marks, places, digests = [], [], [], []
             for doc_id, th, text in zip(*(batch.column(i) for i in range(3)), strict=True):
                 found = spans_of((text.as_py() or "").encode("utf-8", "surrogatepass"), clauses)
-                seen: set[bytes] = set()
                 for at, many, digest in found:
                     places.append((at, many))
                     digests.append(digest)
-                    first.append(digest not in seen)
-                    seen.add(digest)
                 ids.append((doc_id.as_py(), len(found)))
                 marks.append((th.as_py(), len(found)))
                 if len(digests) > 200_000:
-                    yield pack(ids, marks, places, digests, first)
-                    ids, marks, places, digests, first = [], [], [], [], []
-            yield pack(ids, marks, places, digests, first)
+                    yield pack(ids, marks, places, digests)
+                    ids, marks, places, digests = [], [], [], []
+            yield pack(ids, marks, places, digests)
 
-    def pack(ids, marks, places, digests, first) -> pa.RecordBatch:
+    def pack(ids, marks, places, digests) -> pa.RecordBatch:
         where = np.array(places, np.int32).reshape(-1, 2)
         keys = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
         spread = [np.repeat(np.array([v for v, _ in x], np.int64), [n for _, n in x]) for x in (ids, marks)]
-        columns = [*spread, where[:, 0], where[:, 1], np.array(first, bool), keys[:, 0], keys[:, 1]]
+        columns = [*spread, where[:, 0], where[:, 1], keys[:, 0], keys[:, 1]]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), text_hash(), F.col("text"))
-    schema = "id bigint, th bigint, at int, many int, own_first boolean, h1 bigint, h2 bigint"
+    schema = "id bigint, th bigint, at int, many int, h1 bigint, h2 bigint"
     return map_rows(rows, schema, work)
 
 
@@ -109,9 +106,10 @@ def later_spans(found: DataFrame) -> DataFrame:
     Span counts are summed in the map tasks first; only repeated spans leave the join, which
     Spark splits where one span is very frequent.
     """
-    repeated = found.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    place = F.struct("id", "th", "at")
+    repeated = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     repeated = cut(repeated, "repeated-spans")  # Spark splits a hot key only between plain exchanges
-    later = found.join(repeated.hint("merge"), ["h1", "h2"]).where((F.col("id") != F.col("first_id")) | ~F.col("own_first"))
+    later = found.join(repeated.hint("merge"), ["h1", "h2"]).where(F.struct("id", "th", "at") != F.col("first"))
     return later.groupBy("id", "th").agg(F.collect_list(F.struct("at", "many")).alias("spans"))
 
 
@@ -119,9 +117,9 @@ def dedup_sentences(docs: DataFrame, clauses: bool = False) -> DataFrame:
     """All documents with ``text`` thinned, and ``n_sentences``, ``n_removed``.
 
     Texts without two sentences and twenty words stay as they are; a null text stays null with no
-    sentence. Null ids come first in the order of documents. Rows that share an id are not
-    compared with each other, each only with other documents and with itself. Columns named
-    ``n_sentences`` and ``n_removed`` are replaced; an empty table stays empty. With ``clauses`` the
+    sentence. Null ids come first in the order of documents. Among rows that share an id the
+    order is that of a hash of their text; rows equal in both are one document: they keep or lose
+    the same sentences. Columns named ``n_sentences`` and ``n_removed`` are replaced; an empty table stays empty. With ``clauses`` the
     units compared, removed and counted are clauses of at most ten words.
     """
     marks = cut(later_spans(cut(spans(docs, clauses), "spans")), "later-spans")
