@@ -96,6 +96,20 @@ def test_edited_copies_align(spark):
     assert {r["doc_id"] for r in rows} == {1} and 0.5 <= rows[0]["score"] < 1
 
 
+def test_copies_with_dense_edits_and_short_items(spark):
+    item = words(78, 48)
+    third = [f"x{k}" if k % 3 == 2 else w for k, w in enumerate(item)]
+    between = [w for k, v in enumerate(item) for w in (v, f"y{k}")]
+    docs = [(n, prose(n, 60) + " " + " ".join(text) + " " + prose(n + 10, 60)) for n, text in ((1, third), (2, between), (3, item))]
+    docs += [(4, "he said Zig, zag: ZOG! and left"), (5, "zig zag and zog"), (6, "\u8fd9\u662f\u4e00\u4e2a\u6d4b\u8bd5")]
+    items = [(1, " ".join(item)), (2, "zig zag zog"), (3, "\u4e00\u4e2a\u6d4b"), (4, "!"), (5, "left")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = contamination.contaminated(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 2), (4, 5), (6, 3)}
+    assert got[3, 1] == got[4, 2] == got[6, 3] == 1 and 0.5 <= got[1, 1] <= got[2, 1] < 1
+
+
 def test_alignment_against_the_plain_recurrence():
     rng = random.Random(4)
     for _ in range(20):
