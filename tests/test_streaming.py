@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepost.operators import rolling
+from tidepost.plans import stream_queries
 from tidepost.streaming import live, sinks
 
 POSTS = "post_id int, platform string, timestamp timestamp, text string, value double"
@@ -121,3 +122,12 @@ def test_bands_of_any_window_with_late_rows(spark, tmp_path, options):
     for k in batch:
         assert got[k]["rolling_mean"] == pytest.approx(batch[k]["rolling_mean"]), k
         assert got[k]["is_anomaly"] == batch[k]["is_anomaly"]
+
+
+def test_rows_without_a_time_come_with_the_first_slice(spark):
+    df = posts(spark, [(i, "a", None if i % 4 == 0 else i, "x", 0.0) for i in range(40)])
+    parts = [sorted(r["post_id"] for r in part.collect()) for part in stream_queries._slices(df, F.col("timestamp"))]
+    assert len(parts) == 3 and sorted(sum(parts, [])) == list(range(40))
+    assert set(range(0, 40, 4)) <= set(parts[0]) and all(parts)
+    nothing = df.where("timestamp IS NULL")
+    assert [part.count() for part in stream_queries._slices(nothing, F.col("timestamp"))] == [10]

@@ -17,13 +17,14 @@ SLICES = 3
 
 
 def _slices(df, ts):
-    """Time slices of about equal size, oldest first."""
+    """Time slices of about equal size, oldest first; rows without a time come with the first."""
     micros = F.unix_micros(ts)
     shares = [i / SLICES for i in range(1, SLICES)]
     cuts = df.agg(F.percentile_approx(micros, shares, F.lit(100))).first()[0] or []
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         part = df if low is None else df.filter(micros >= low)
-        yield part if high is None else part.filter(micros < high)
+        first = F.lit(low is None) & micros.isNull()
+        yield part if high is None else part.filter((micros < high) | first)
 
 
 def _arriving(g: Given):
