@@ -3,9 +3,9 @@
 Equal sets of shingles are one row of the matrix. The shingles of a row are ordered, frequent ones
 last, and two rows with a Jaccard similarity of at least 3/4 share one of the first
 ``n - ceil(3n/4) + 1`` of each (prefix bound), so that the product runs over these columns only,
-in blocks of columns, and adds up overlaps per pair of rows. Pairs whose sizes exclude the
-similarity go at once; the others are tested by parity sketches, whose distance never exceeds that
-of the sets, and those left by their whole sets.
+in blocks of columns. Pairs whose sizes exclude the similarity go at once; the others are tested
+by parity sketches, whose distance never exceeds that of the sets, and those left by their whole
+sets. The sketches stand in for a bound on overlaps summed over the blocks, which no step applies.
 
 Only components of the links are asked for. Columns that many rows share are not multiplied out:
 their rows are tested against one row, and after that only across components, in blocks.
@@ -271,7 +271,11 @@ def pairs_in_columns(tok: np.ndarray, sid: np.ndarray, n: np.ndarray) -> tuple[n
 
 
 def rare_pairs(entries: DataFrame) -> DataFrame:
-    """``a, b, n_a, n_b, overlap`` over all columns that are not frequent."""
+    """``a, b, n_a, n_b, overlap`` over all columns that are not frequent.
+
+    ``jaccard_components`` takes the pairs alone: sketches and whole sets discard pairs in place of
+    a bound on the accumulated overlap.
+    """
 
     def work(table: pa.Table) -> pa.Table:
         columns = pairs_in_columns(*unpacked(table))
