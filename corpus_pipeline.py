@@ -54,7 +54,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Mixtures, alignments and tokens have no SQL form; a brute-force version stands in for it.
+#: Mixtures, alignments and tokens have no SQL form; a test chains plain versions of the stages instead.
 ORACLE_SQL: str | None = None
 
 

@@ -5,8 +5,10 @@ import os
 import pytest
 
 import corpus_pipeline
-from tidepost.llm import queries
+from tidepost.llm import contamination, queries
 from tests.checker import compare_rows, connect
+from tests.llm import brute
+from tests.llm.tables import odd_texts, prose, words
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -47,3 +49,30 @@ def test_pipeline(spark, tmp_path):
     assert counts[0] >= counts[1] >= counts[2] > counts[3] >= counts[4] > 0
     assert set(docs.columns) >= {"doc_id", "piece", "sequence_id", "offset"}
     assert corpus_pipeline.run(spark, SMALL).count() == counts[5]
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    docs = {i: t for i, t in odd_texts() if i is not None}
+    docs[20] = prose(31, 60) + "\n" + " ".join(f"x{k}" if k % 3 == 2 else w for k, w in enumerate(words(32, 48)))
+    docs[21], docs[22] = prose(33, 200), prose(33, 200).replace(".", ";")
+    items = [(1, "\n".join(docs[5].split("\n")[4:7])), (2, " ".join(words(32, 48))), (3, "too short"), (4, None), (5, "One, two three!")]
+    rows = [(i, t, ("en", "es")[i % 2], "s", len(t or "")) for i, t in docs.items()]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    plain = {i: t for i, t in docs.items() if any(c.isalpha() for c in t or "")}
+    thinned = brute.lines(list(plain.items()))
+    plain = {i: t for i, t in thinned.items() if t or t == plain[i]}
+    firsts = {i for i, _, first in brute.components(list(plain.items())) if i == first}
+    plain = {i: t for i, t in plain.items() if str(i) in firsts}
+    tests = [contamination.text_words(contamination.normal(t), contamination.PUNCTUATION) for _, t in items if t]
+    dirty = set()
+    for i, t in plain.items():
+        found = contamination.text_words(contamination.normal(t), contamination.PUNCTUATION)
+        for item in tests:
+            whole = any((found[k : k + len(item)] == item).all() for k in range(len(found) - len(item) + 1))
+            if whole or len(item) >= contamination.MIN_WORDS and contamination.align(item, found) >= contamination.LEAST_SCORE:
+                dirty.add(i)
+    assert {5, 11, 20} <= dirty and len(plain) > len(dirty) + 5
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    brute.check_packing(got, [(i, t) for i, t in plain.items() if i not in dirty], 2048)
