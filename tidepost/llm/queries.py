@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import contamination, graph_search, languages, lines, ngram_join, packing, personal, sentences, sharding, substrings
+from tidepost.llm import chat, contamination, graph_search, languages, lines, ngram_join, packing, personal, sentences, sharding, substrings
 from tidepost.llm.common import table
 
 #: Bytes of text per shard in the query; the operator's own default is 64 MiB.
@@ -79,6 +79,45 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.dedup_sentences(docs).select("doc_id", "n_sentences", "n_removed", "text")
 
 
+#: A conversation whose texts hold the template's own control strings.
+TRICKY_ID, TRICKY_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    tricky = spark.range(2).select(F.lit(TRICKY_ID).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(TRICKY_TEXT).alias("text"))
+    turns = turns.unionByName(tricky)
+    read = chat.read_back(chat.format_conversations(turns))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("text").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def _escaped_sql(column: str, escapes: tuple[tuple[str, str], ...]) -> str:
+    for plain, mark in escapes:
+        column = f"replace({column}, '{plain}', '{mark}')"
+    return column
+
+
+OP11_SQL = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT {TRICKY_ID}, k, r, '{TRICKY_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(k, r)),
+o AS (SELECT *, row_number() OVER w AS rn, lag(role) OVER w AS before FROM t
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY rn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = '{chat.LOSS_ROLE}'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY rn) FILTER (role = '{chat.LOSS_ROLE}'), '')) AS loss_sha256,
+       CAST(sum(length({_escaped_sql("text", chat.ESCAPES)}) + CASE WHEN before IS NOT DISTINCT FROM role THEN {len(chat.NEXT)}
+                ELSE {len(chat.OPEN + chat.AFTER_ROLE + chat.END) + 1} + length({_escaped_sql("role", chat.ROLE_ESCAPES)}) END) AS BIGINT) AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_suffix_array": op2_suffix_array,
@@ -90,10 +129,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_graph_search": op9_graph_search,
     "op10_sentence_spans": op10_sentence_spans,
+    "op11_chat": op11_chat,
 }
 
 ORACLES: dict[str, str] = {
     "op1_sharding": OP1_SQL,
     "op6_line_dedup": lines.SQL,
     "op10_sentence_spans": sentences.SQL,
+    "op11_chat": OP11_SQL,
 }
