@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.llm import chat, contamination, graph_search, languages, lines, ngram_join, packing, personal, sentences, sharding, substrings
-from tidepost.llm.common import table
+from tidepost.functions.binding import bind
+from tidepost.llm import chat, contamination, graph_search, languages, lines, ngram_join, packing, periodic, personal, sentences, sharding, substrings
+from tidepost.llm.common import table, text_of
 
 #: Bytes of text per shard in the query; the operator's own default is 64 MiB.
 SHARD_BYTES = 1 << 20
@@ -118,6 +119,39 @@ FROM o GROUP BY conv_id
 """
 
 
+def planted_text() -> Column:
+    """The text, in one of ten documents with its words from some place on repeated periodically."""
+    held = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(held / 10).cast("bigint")
+
+    def planted(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        a, parts = g % F.greatest(n, F.lit(1)), g % 8 + 3
+        period = 1 + ((n - a - (n - a) % parts) / parts).cast("bigint")
+
+        def word(old: Column, i: Column) -> Column:
+            return F.when(i < a, old).otherwise(F.get(words, (a + (i - a) % period).cast("int")))
+
+        return F.array_join(F.transform(words, word), " ")
+
+    words = F.filter(F.split(text_of(), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(held % 10 == 0, bind(words, planted)).otherwise(F.col("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_text().alias("text"))
+    found = periodic.periodic_runs(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("longest", longest)
+    start, length, period = -F.col("longest.start"), F.col("longest.length"), -F.col("longest.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_suffix_array": op2_suffix_array,
@@ -130,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_graph_search": op9_graph_search,
     "op10_sentence_spans": op10_sentence_spans,
     "op11_chat": op11_chat,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
