@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepost.functions.binding import bind
-from tidepost.llm import chat, contamination, graph_search, languages, lines, ngram_join, packing, periodic, personal, sentences, sharding, substrings
+from tidepost.llm import alignment, chat, contamination, graph_search, languages, lines, ngram_join, packing, periodic, personal, sentences, sharding, substrings
 from tidepost.llm.common import table, text_of
 
 #: Bytes of text per shard in the query; the operator's own default is 64 MiB.
@@ -119,6 +119,16 @@ FROM o GROUP BY conv_id
 """
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        byte_level = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        pieces = file.read()
+    return alignment.align(table(spark, sf_dir, "documents"), byte_level, pieces)
+
+
 def planted_text() -> Column:
     """The text, in one of ten documents with its words from some place on repeated periodically."""
     held = F.crc32(F.col("doc_id").cast("string"))
@@ -164,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_graph_search": op9_graph_search,
     "op10_sentence_spans": op10_sentence_spans,
     "op11_chat": op11_chat,
+    "op12_alignment": op12_alignment,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
