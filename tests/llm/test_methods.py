@@ -55,23 +55,70 @@ def test_sketches_never_exceed_the_difference():
         assert ngram_join.differing(ngram_join.sketch(a), ngram_join.sketch(b)) <= apart
 
 
-def test_frequent_columns_across_components(spark, monkeypatch):
-    """Many near copies of several texts that share most words: columns above the threshold."""
+def near_copies(groups, each, words_each=60):
+    """Texts that share most words within a group."""
+    docs, base = [], [words(s, words_each) for s in range(groups)]
+    for k in range(each * groups):
+        text = list(base[k % groups])
+        for place in range(k % 5):
+            text[(7 * place + k) % words_each] = f"w{k}{place % 2}"
+        docs.append((k, " ".join(text)))
+    return docs
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 0])
+def test_frequent_columns_across_components(spark, monkeypatch, cells):
+    """Columns above the threshold, also where the table of frequent columns holds none of them."""
     monkeypatch.setattr(ngram_join, "FREQUENT", 3)
+    monkeypatch.setattr(ngram_join, "FREQUENT_CELLS", cells)
     monkeypatch.setattr(ngram_join, "CHUNK_ROWS", 4)
     from tests.llm import brute
 
-    docs, base = [], [words(s, 60) for s in range(3)]
-    for k in range(45):
-        text = list(base[k % 3])
-        for place in range(k % 5):
-            text[(7 * place + k) % 60] = f"w{k}{place % 2}"
-        docs.append((k, " ".join(text)))
+    docs = near_copies(3, 15)
+    docs += [(100 + k, " ".join(words(k % 3, 60)[: 20 + 2 * k])) for k in range(20)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in ngram_join.jaccard_components(df).collect())
     assert got == sorted(brute.components(docs))
 
 
+def test_rows_of_a_frequent_column_with_one_short_row(spark):
+    """A short row does not make the sketches of long ones pass, and a row gives one pair a component."""
+    rng = np.random.default_rng(7)
+    sets = {k: np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64)) for k in range(200)} | {999: np.arange(10, dtype=np.uint64)}
+    for k in range(200, 300):  # two groups of copies that no link joins yet
+        sets[k] = np.append(sets[k % 2][:-1], np.uint64(k))
+    rows = [(5, k, len(x)) for k, x in sets.items()]
+    often = spark.createDataFrame(rows, "tok bigint, sid bigint, n bigint")
+    sketches = spark.createDataFrame([(k, bytearray(ngram_join.sketch(x))) for k, x in sets.items()], "sid bigint, sketch binary")
+    shingles = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in sets.items()], "sid bigint, shingles binary")
+    none = spark.createDataFrame([], "node bigint, label bigint")
+    every, minor = ngram_join.meetings(often, none)
+    near = {(r["a"], r["b"]) for r in ngram_join.nearest_across(every, minor, sketches).collect()}
+    links = {(r["a"], r["b"]) for r in ngram_join.links_across(every, minor, sketches, shingles).collect()}
+    flagged = {r["sid"] for r in ngram_join.rows_near(every, minor, sketches).collect()}
+    same = {(a, b) for a in sets for b in sets if a < b and ngram_join.linked(sets[a], sets[b])}
+    assert near == links == same and flagged == {x for pair in same for x in pair}
+    grouped = spark.createDataFrame([(k, 2000 + k % 2) for k in range(200, 300)], "node bigint, label bigint")
+    every, minor = ngram_join.meetings(often, grouped)
+    near = [tuple(r) for r in ngram_join.nearest_across(every, minor, sketches).collect()]
+    assert {a for a, _ in near} | {b for _, b in near} >= {0, 1} and len(near) <= 102
+
+
+def test_overlap_bound_keeps_links():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n, m = sorted(rng.integers(1, 60, 2))
+        both = -(-3 * (n + m) // 7)
+        if both > n:
+            continue
+        a, b = np.arange(n), np.append(np.arange(both), 1000 + np.arange(m - both))
+        order = rng.permutation(2000)
+        a, b = (x[np.argsort(order[x])] for x in (a, b))
+        covered = [x[: rng.integers(0, len(x) - ngram_join.least_overlap(len(x)) + 2)] for x in (a, b)]
+        overlap, rest = len(np.intersect1d(*covered)), max(n - len(covered[0]), m - len(covered[1]))
+        assert ngram_join.enough_overlap(n, m, overlap, rest)
+
+
 def test_local_search_empties_bins():
     rng = random.Random(2)
     lengths = [rng.choice([2048 - 700, 700, 350, 900, 448, 3]) for _ in range(400)]

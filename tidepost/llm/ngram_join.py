@@ -3,12 +3,13 @@
 Equal sets of shingles are one row of the matrix. The shingles of a row are ordered, frequent ones
 last, and two rows with a Jaccard similarity of at least 3/4 share one of the first
 ``n - ceil(3n/4) + 1`` of each (prefix bound), so that the product runs over these columns only,
-in blocks of columns. Pairs whose sizes exclude the similarity go at once; the others are tested
-by parity sketches, whose distance never exceeds that of the sets, and those left by their whole
-sets. The sketches stand in for a bound on overlaps summed over the blocks, which no step applies.
+in blocks of columns. Overlap counts are summed over the blocks, and a pair goes when its count and
+all columns that were not multiplied are fewer than its sizes ask for. Parity sketches, whose
+distance never exceeds that of the sets, reject most of the others, and whole sets decide.
 
 Only components of the links are asked for. Columns that many rows share are not multiplied out:
-their rows are tested against one row, and after that only across components, in blocks.
+their rows are tested against one row, and after that only across components, in chunks of rows of
+neighbouring sizes, and each row gives at most one link to each other component it meets.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +34,15 @@ WORDS = 5
 #: the order of columns (which no result depends on) is known to every task.
 FREQUENT = 64
 FREQUENT_CELLS = 1 << 20
-#: Matrix entries in a block of columns, on average.
-BLOCK_ENTRIES = 400_000
+#: Matrix entries in a block of columns, on average, and pairs of a block that are held unsummed.
+BLOCK_ENTRIES, BLOCK_PAIRS = 200_000, 500_000
 #: Bytes of text to a block of column counts.
 COUNT_BYTES = 8 << 20
-FLUSH = 2_000_000
-CHUNK_ROWS = 1024
+#: Shingles that a task holds before it gives them on, and sets that it remembers (they save work only).
+FLUSH, SEEN = 500_000, 100_000
+#: Rows of a frequent column, and their shingles, that a task compares with as many others.
+CHUNK_ROWS, CHUNK_SHINGLES = 1024, 1_000_000
+PAIR_COLUMNS, PLACE_COLUMNS = ("a", "b", "n_a", "n_b", "rest", "overlap"), ("tok", "sid", "n")
 MATRIX_COLUMNS = ["doc_id", "th", "n", "sid", "sketch", "block", "cells"]
 
 
@@ -50,9 +55,10 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.
     """(doc_id, th) and sorted distinct shingle hashes of each document of (doc_id, text, th)."""
     for batch in batches:
         ids = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
-        texts = [(t.as_py() or "").encode("utf-8", "surrogatepass").lower() for t in batch.column(1)]
-        for start, end in in_slices(texts):
-            words, bounds = words_by_text(texts[start:end], WHITE_SPACE)
+        sizes = [range(n or 0) for n in pc.binary_length(batch.column(1)).to_pylist()]
+        for start, end in in_slices(sizes):
+            texts = batch.column(1).slice(start, end - start).cast(pa.binary()).to_pylist()
+            words, bounds = words_by_text([(t or b"").lower() for t in texts], WHITE_SPACE)
             grams = ngrams(words, WORDS)
             for i in range(start, end):
                 a, b = bounds[i - start], bounds[i - start + 1]
@@ -167,9 +173,10 @@ def frequent_cells(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], blocks: int) -> DataFrame:
-    """Matrix entries within the prefix bound, packed: ``block, tok, sid, n``.
+    """Matrix entries within the prefix bound, packed: ``block, tok, sid, n, rest``.
 
-    Entries of frequent columns have block -1. Sets that a task has seen are not sent again.
+    Entries of frequent columns have block -1; ``rest`` counts the columns of a row that have no
+    block. Sets that a task remembers are not sent again.
     """
     held = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -182,7 +189,7 @@ def prefix_entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], blo
             sid = set_id(shingles)
             if not n or sid in seen:
                 continue
-            if len(seen) < FLUSH:
+            if len(seen) < SEEN:
                 seen.add(sid)
             level = np.zeros(n, np.int8)
             if len(cells):
@@ -191,99 +198,130 @@ def prefix_entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], blo
                 level = np.where(cells[at] == cell, levels[at], 0)
             first = np.argsort(level, kind="stable")[: n - least_overlap(n) + 1]
             chosen, known = shingles[first], level[first] > 0
-            rare.append((chosen[~known], sid, n))
+            rest = n - int((~known).sum())
+            rare.append((chosen[~known], sid, n, rest))
             if known.any():
-                often.append((chosen[known], sid, n))
+                often.append((chosen[known], sid, n, rest))
             entries += len(first)
             if entries > FLUSH:
                 yield from flush(rare, often)
                 rare, often, entries = [], [], 0
         yield from flush(rare, often)
 
-    def spread(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        many = [len(t) for t, _, _ in rows]
-        tok = np.concatenate([np.zeros(0, np.uint64), *[t for t, _, _ in rows]])
-        sid = np.repeat(np.array([s for _, s, _ in rows], np.int64), many)
-        return tok, sid, np.repeat(np.array([n for _, _, n in rows], np.int32), many)
+    def spread(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+        many = [len(row[0]) for row in rows]
+        tok = np.concatenate([np.zeros(0, np.uint64), *[row[0] for row in rows]])
+        kinds = (np.int64, np.int32, np.int32)
+        return tok, *(np.repeat(np.array([row[k] for row in rows], kind), many) for k, kind in enumerate(kinds, 1))
 
     def flush(rare: list[tuple], often: list[tuple]) -> Iterator[pa.RecordBatch]:
-        tok, sid, n = spread(rare)
-        block = (tok % np.uint64(blocks)).astype(np.int64)
+        columns = spread(rare)
+        block = (columns[0] % np.uint64(blocks)).astype(np.int64)
         order = np.argsort(block, kind="stable")
-        tok, sid, n, block = tok[order], sid[order], n[order], block[order]
+        columns, block = [c[order] for c in columns], block[order]
         edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1)) if len(block) else []
-        parts = [(int(block[a]), tok[a:b], sid[a:b], n[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        tok, sid, n = spread(often)
-        parts += [(-1, tok[a : a + 50_000], sid[a : a + 50_000], n[a : a + 50_000]) for a in range(0, len(tok), 50_000)]
+        parts = [(int(block[a]), *(c[a:b] for c in columns)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        columns = spread(often)
+        parts += [(-1, *(c[a : a + 50_000] for c in columns)) for a in range(0, len(columns[0]), 50_000)]
         for at in range(0, len(parts), 64):
             some = parts[at : at + 64]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([p[0] for p in some], pa.int32()),
-                    *[pa.array([p[k].tobytes() for p in some], pa.binary()) for k in (1, 2, 3)],
+                    *[pa.array([p[k].tobytes() for p in some], pa.binary()) for k in (1, 2, 3, 4)],
                 ],
-                ["block", "tok", "sid", "n"],
+                ["block", "tok", "sid", "n", "rest"],
             )
 
-    return map_rows(docs, "block int, tok binary, sid binary, n binary", work)
+    return map_rows(docs, "block int, tok binary, sid binary, n binary, rest binary", work)
 
 
-def unpacked(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
     def one(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    return one("tok", "<u8"), one("sid", "<i8"), one("n", "<i4")
+    return one("tok", "<u8"), one("sid", "<i8"), one("n", "<i4"), one("rest", "<i4")
 
 
-def pairs_in_columns(tok: np.ndarray, sid: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The product of a block with itself: pairs a < b, their sizes and overlaps in the block.
+def counted(rows: np.ndarray) -> np.ndarray:
+    """Pairs summed: rows (a, b, n_a, n_b, rest, overlap), each pair once."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1))) if len(rows) else np.zeros(0, np.int64)
+    out = rows[first]
+    if len(first):
+        out[:, 5] = np.add.reduceat(rows[:, 5], first)
+    return out
+
+
+def pairs_in_columns(tok: np.ndarray, sid: np.ndarray, n: np.ndarray, rest: np.ndarray, frequent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The product of a block with itself: pairs (a, b, n_a, n_b, rest, overlap) with a < b; and
+    places of a row (tok, sid, n) in columns of ``frequent`` rows or more, which are not multiplied.
 
     Columns are taken together by their number of rows; sizes that exclude a link are left out.
+    ``rest`` is the larger number of columns that no block has.
     """
     order = np.lexsort((sid, tok))
-    tok, sid, n = tok[order], sid[order], n[order]
+    tok, sid, n, rest = tok[order], sid[order], n[order], rest[order]
     fresh = np.ones(len(tok), bool)
     fresh[1:] = (tok[1:] != tok[:-1]) | (sid[1:] != sid[:-1])
-    tok, sid, n = tok[fresh], sid[fresh], n[fresh]
+    tok, sid, n, rest = tok[fresh], sid[fresh], n[fresh], rest[fresh]
     first = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, np.int64)
     many = np.diff(np.append(first, len(tok)))
-    found = []
-    for rows in np.unique(many[many > 1]):
+    found, held = [np.zeros((0, 6), np.int64)], 0
+    for rows in np.unique(many[(many > 1) & (many < frequent)]):
         left, right = np.triu_indices(rows, 1)
         starts = first[many == rows]
-        step = max(1, 1_000_000 // len(left))
+        step = max(1, BLOCK_PAIRS // len(left))
         for at in range(0, len(starts), step):
             a = (starts[at : at + step, None] + left).ravel()
             b = (starts[at : at + step, None] + right).ravel()
             near = 4 * np.minimum(n[a], n[b]) >= 3 * np.maximum(n[a], n[b])
             a, b = a[near], b[near]
-            found.append(np.rec.fromarrays([sid[a], sid[b], n[a], n[b]], names="a,b,na,nb"))
-    if not found:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty, empty
-    rows = np.concatenate(found)
-    order = np.lexsort((rows["b"], rows["a"]))
-    rows = rows[order]
-    edge = np.flatnonzero(np.concatenate([[True], (rows["a"][1:] != rows["a"][:-1]) | (rows["b"][1:] != rows["b"][:-1])]))
-    overlap = np.diff(np.append(edge, len(rows)))
-    rows = rows[edge]
-    return rows["a"], rows["b"], rows["na"], rows["nb"], overlap
-
-
-def rare_pairs(entries: DataFrame) -> DataFrame:
-    """``a, b, n_a, n_b, overlap`` over all columns that are not frequent.
-
-    ``jaccard_components`` takes the pairs alone: sketches and whole sets discard pairs in place of
-    a bound on the accumulated overlap.
+            found.append(np.stack([sid[a], sid[b], n[a], n[b], np.maximum(rest[a], rest[b]), np.ones(len(a), np.int64)], axis=1))
+            held += len(a)
+            if held > BLOCK_PAIRS:
+                found = [counted(np.concatenate(found))]
+                held = 0
+    dense = np.repeat(many >= frequent, many)
+    return counted(np.concatenate(found)), np.stack([tok[dense].view(np.int64), sid[dense], n[dense].astype(np.int64)], axis=1)
+
+
+def enough_overlap(n_a, n_b, overlap, rest):
+    """Whether a pair may still link: links need 7 * overlap >= 3 * (n_a + n_b), and the count misses
+    at most ``rest`` columns."""
+    return 7 * (overlap + rest) >= 3 * (n_a + n_b)
+
+
+def rare_pairs(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` that the overlaps summed over all blocks allow, and ``tok, sid, n``: places in
+    columns of ``FREQUENT`` rows or more that the table of frequent columns did not hold.
+
+    Of two rows, the one whose multiplied columns end first (in the order of columns) has its shared
+    ones among them counted, so that the count misses no more than its other columns.
     """
+    frequent = FREQUENT
 
     def work(table: pa.Table) -> pa.Table:
-        columns = pairs_in_columns(*unpacked(table))
-        names = ("a", "b", "n_a", "n_b", "overlap")
-        return pa.table({k: pa.array(np.asarray(c, np.int64)) for k, c in zip(names, columns, strict=True)})
-
-    pairs = entries.groupBy("block").applyInArrow(work, "a bigint, b bigint, n_a bigint, n_b bigint, overlap bigint")
-    return pairs.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+        pairs, dense = pairs_in_columns(*unpacked(table), frequent)
+        nulls = [pa.nulls(len(pairs), pa.int64()), pa.nulls(len(dense), pa.int64())]
+        columns = {c: pa.chunked_array([pa.array(pairs[:, k]), nulls[1]]) for k, c in enumerate(PAIR_COLUMNS)}
+        columns |= {c: pa.chunked_array([nulls[0], pa.array(dense[:, k])]) for k, c in enumerate(PLACE_COLUMNS)}
+        return pa.table(columns)
+
+    schema = ", ".join(f"{c} bigint" for c in (*PAIR_COLUMNS, *PLACE_COLUMNS))
+    product = cut(entries.groupBy("block").applyInArrow(work, schema), "block-products")
+    pairs = product.where("a IS NOT NULL").groupBy("a", "b").agg(
+        F.sum("overlap").alias("overlap"), *(F.first(c).alias(c) for c in ("n_a", "n_b", "rest"))
+    )
+    places = product.where("tok IS NOT NULL").select(*PLACE_COLUMNS)
+    # What a row has in such columns is not in the counts either.
+    if not places.isEmpty():
+        missed = cut(places.groupBy("sid").agg(F.count("*").alias("missed")), "missed-columns")
+        for side in ("a", "b"):
+            own = missed.select(F.col("sid").alias(side), F.col("missed").alias(f"{side}_missed"))
+            pairs = pairs.join(own, side, "left")
+        pairs = pairs.withColumn("rest", F.col("rest") + F.greatest(F.coalesce("a_missed", F.lit(0)), F.coalesce("b_missed", F.lit(0))))
+    return pairs.where(enough_overlap(F.col("n_a"), F.col("n_b"), F.col("overlap"), F.col("rest"))).select("a", "b"), places
 
 
 def frequent_entries(entries: DataFrame) -> DataFrame:
@@ -291,12 +329,12 @@ def frequent_entries(entries: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tok, sid, n = unpacked(batch)
+            tok, sid, n, _ = unpacked(batch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tok.view(np.int64)), pa.array(sid), pa.array(n.astype(np.int64))], ["tok", "sid", "n"]
             )
 
-    return map_rows(entries.select("tok", "sid", "n"), "tok bigint, sid bigint, n bigint", work).distinct()
+    return map_rows(entries.select("tok", "sid", "n", "rest"), "tok bigint, sid bigint, n bigint", work)
 
 
 def star_pairs(often: DataFrame) -> DataFrame:
@@ -357,6 +395,11 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.first("shingles").alias("shingles"))
 
 
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= 75 * (len(x) + len(y) - both)
+
+
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``a, b`` whose whole sets link."""
     a = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
@@ -364,11 +407,8 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= 75 * (len(x) + len(y) - both))
+            sets = zip(batch.column(2), batch.column(3), strict=True)
+            keep = [linked(*(np.frombuffer(s.as_buffer(), np.uint64) for s in both)) for both in sets]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.select("a", "b").join(a.hint("merge"), "a").join(b.hint("merge"), "b")
@@ -383,59 +423,133 @@ def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def across(often: DataFrame, labels: DataFrame, sketches: DataFrame, nearest_only: bool = False) -> DataFrame:
-    """Pairs ``a, b`` of different components within a frequent column that size and sketch allow.
+def size_band(n):
+    """Sets that link have sizes in the same band or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / math.log(4 / 3) + 1e-9).cast("int")
+
+
+def meetings(often: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Which rows of frequent columns have to meet: ``tok, band, i, j, sid, n, label``, twice.
 
-    In each column the rows outside its largest component meet all rows, in tasks of at most two
-    chunks; a column within one component is left out. Tasks give only pairs that may link, or
-    with ``nearest_only`` one of them for each row and component that it meets.
+    A column is dealt by bands of size, rows of a band together with those of the next. There rows
+    outside the largest component (the second table) meet all rows (the first one), in chunks
+    ``i`` of all and ``j`` of the others; what is within one component is left out.
     """
     marks = labels.select(F.col("node").alias("sid"), "label")
     rows = often.join(marks, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    parts = rows.groupBy("tok", "label").agg(F.count("*").alias("m"))
-    main = parts.groupBy("tok").agg(
-        F.count("*").alias("k"), F.sum("m").alias("all"), F.max("m").alias("most"), F.max_by("label", F.struct("m", "label")).alias("main")
-    )
+    band = size_band(F.col("n"))
+    rows = rows.select("tok", "sid", "n", "label", F.explode(F.array(band - 1, band)).alias("band"))
+    parts = rows.groupBy("tok", "band", "label").agg(F.count("*").alias("m"), F.max("n").alias("longest"))
+    main = parts.groupBy("tok", "band").agg(
+        F.count("*").alias("k"), F.sum("m").alias("all"), F.max("m").alias("most"), F.max("longest").alias("longest"),
+        F.max_by("label", F.struct("m", "label")).alias("main"),
+    )
     main = cut(main.where("k > 1"), "main-components")
-    rows = rows.join(main.hint("merge"), "tok").join(sketches.select("sid", "sketch"), "sid")
-    chunks = F.ceil(F.col("all") / CHUNK_ROWS).cast("int")
-    minor_chunks = F.ceil((F.col("all") - F.col("most")) / CHUNK_ROWS).cast("int")
+    rows = cut(rows.join(main.hint("merge"), ["tok", "band"]), "meeting-rows")
+    size = F.greatest(F.lit(1), F.least(F.lit(CHUNK_ROWS), F.floor(F.lit(CHUNK_SHINGLES) / F.col("longest"))))
+    chunks = F.ceil(F.col("all") / size).cast("int")
+    minor_chunks = F.ceil((F.col("all") - F.col("most")) / size).cast("int")
     own = F.xxhash64("sid", "tok")
-    columns = ("tok", "sid", "n", "label", "sketch")
-    every = rows.select(
-        *columns, F.pmod(own, chunks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), minor_chunks - 1)).alias("j")
-    )
+    columns = [F.col(c).alias(c) for c in ("tok", "band", "sid", "n", "label")]
+    every = rows.select(*columns, F.pmod(own, chunks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), minor_chunks - 1)).alias("j"))
     minor = rows.where("label != main").select(
-        *[F.col(c).alias(c) for c in columns], F.explode(F.sequence(F.lit(0), chunks - 1)).alias("i"), F.pmod(own, minor_chunks).cast("int").alias("j")
+        *columns, F.explode(F.sequence(F.lit(0), chunks - 1)).alias("i"), F.pmod(own, minor_chunks).cast("int").alias("j")
     )
+    return every, minor
+
+
+def near_places(left: pa.Table, right: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places in ``right`` and ``left`` whose labels differ and whose sketches may link, and the
+    distance of these. Sizes are within two bands, so that folding keeps two cells for a shingle."""
+    sketches = [t.column("sketch").to_pylist() for t in (left, right)]
+    width = min(len(held) for part in sketches for held in part) // 8
+    x, y = (folded(part, width) for part in sketches)
+    n, label = (np.asarray(left.column(c)) for c in ("n", "label"))
+    own_n, own_label = (np.asarray(right.column(c)) for c in ("n", "label"))
+    step = max(1, 2_000_000 // (len(x) * width))
+    for at in range(0, len(y), step):
+        part = slice(at, at + step)
+        apart = np.bitwise_count(x[None, :, :] ^ y[part, None, :]).sum(2, dtype=np.int64)
+        m = own_n[part, None]
+        near = (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (label != own_label[part, None]) & may_link(n, m, apart)
+        row, place = np.nonzero(near)
+        yield row + at, place, apart[row, place]
+
+
+def one_per_component(row: np.ndarray, label: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first by ``rank`` of each row and label."""
+    order = np.lexsort((rank, label, row))
+    row, label = row[order], label[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (label[1:] != label[:-1])
+    return order[fresh]
+
+
+def nearest_across(every: DataFrame, minor: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs ``a, b``: each row with its nearest row of each component that it meets, where sketches
+    allow a link at all."""
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        pairs = [np.zeros((0, 2), np.int64)]
+        if left.num_rows and right.num_rows:
+            sid, label, own_sid = np.asarray(left.column("sid")), np.asarray(left.column("label")), np.asarray(right.column("sid"))
+            for row, place, apart in near_places(left, right):
+                first = one_per_component(row, label[place], apart)
+                pairs.append(np.stack([own_sid[row[first]], sid[place[first]]], axis=1))
+        return pair_table(np.concatenate(pairs))
+
+    return met(every, minor, sketches, work).distinct()
+
+
+def links_across(every: DataFrame, minor: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b``, decided in the task by whole sets: for each row one link to each component
+    that it meets, if there is any."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        links = []
         if left.num_rows and right.num_rows:
-            sketches = [t.column("sketch").to_pylist() for t in (left, right)]
-            width = min(len(held) for part in sketches for held in part) // 8
-            x, y = (folded(part, width) for part in sketches)
-            sid, n, label = (np.asarray(left.column(c)) for c in ("sid", "n", "label"))
-            own_sid, own_n, own_label = (np.asarray(right.column(c)) for c in ("sid", "n", "label"))
-            step = max(1, 2_000_000 // (len(x) * width))
-            for at in range(0, len(y), step):
-                part = slice(at, at + step)
-                apart = np.bitwise_count(x[None, :, :] ^ y[part, None, :]).sum(2, dtype=np.int64)
-                m = own_n[part, None]
-                near = (4 * np.minimum(n, m) >= 3 * np.maximum(n, m)) & (label != own_label[part, None])
-                row, place = np.nonzero(near & may_link(n, m, apart))
-                if nearest_only:
-                    order = np.lexsort((apart[row, place], label[place], row))
-                    row, place = row[order], place[order]
-                    first = np.ones(len(row), bool)
-                    first[1:] = (row[1:] != row[:-1]) | (label[place][1:] != label[place][:-1])
-                    row, place = row[first], place[first]
-                out_a.append(np.minimum(own_sid[part][row], sid[place]))
-                out_b.append(np.maximum(own_sid[part][row], sid[place]))
-        return pa.table({"a": pa.array(np.concatenate(out_a)), "b": pa.array(np.concatenate(out_b))})
-
-    found = every.groupBy("tok", "i", "j").cogroup(minor.groupBy("tok", "i", "j")).applyInArrow(work, "a bigint, b bigint")
-    return found.distinct()
+            sid, label, own_sid = np.asarray(left.column("sid")), np.asarray(left.column("label")), np.asarray(right.column("sid"))
+            sets = [[np.frombuffer(s.as_buffer(), np.uint64) for s in t.column("shingles")] for t in (left, right)]
+            done = set()
+            for row, place, apart in near_places(left, right):
+                for k in np.lexsort((apart, label[place], row)).tolist():
+                    y, x = int(row[k]), int(place[k])
+                    if (y, label[x]) not in done and linked(sets[0][x], sets[1][y]):
+                        done.add((y, label[x]))
+                        links.append((own_sid[y], sid[x]))
+        return pair_table(np.array(links, np.int64).reshape(-1, 2))
+
+    return met(every, minor, sketches.join(sets, "sid"), work).distinct()
+
+
+def rows_near(every: DataFrame, minor: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``tok, band, i, j, sid``: rows that some row of another component may link to by sketch."""
+    keys = ("tok", "band", "i", "j")
+
+    def work(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not (left.num_rows and right.num_rows):
+            return pa.table({c: pa.array([], pa.int64()) for c in (*keys, "sid")})
+        held = [np.zeros(t.num_rows, bool) for t in (left, right)]
+        for row, place, _ in near_places(left, right):
+            held[0][place] = True
+            held[1][row] = True
+        sid = np.unique(np.concatenate([np.asarray(t.column("sid"))[h] for t, h in zip((left, right), held, strict=True)]))
+        return pa.table({c: pa.array(np.full(len(sid), left.column(c)[0].as_py(), np.int64)) for c in keys} | {"sid": pa.array(sid)})
+
+    return met(every, minor, sketches, work, ", ".join(f"{c} bigint" for c in (*keys, "sid")))
+
+
+def met(every: DataFrame, minor: DataFrame, values: DataFrame, work, schema: str = "a bigint, b bigint") -> DataFrame:
+    """``work`` over each two chunks that meet, with ``values`` by sid."""
+    keys = ("tok", "band", "i", "j")
+    sides = [side.join(values.hint("merge"), "sid") for side in (every, minor)]
+    names = [c for c in sides[0].columns]
+    left, right = (side.select(*[F.col(c).alias(c) for c in names]).groupBy(*keys) for side in sides)
+    return left.cogroup(right).applyInArrow(work, schema)
+
+
+def pair_table(pairs: np.ndarray) -> pa.Table:
+    return pa.table({"a": pa.array(pairs.min(1) if len(pairs) else pairs[:, 0]), "b": pa.array(pairs.max(1) if len(pairs) else pairs[:, 1])})
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -461,8 +575,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # Made once for frequent columns and once for the others: reading texts again costs less than
     # keeping the entries, which are the largest intermediate result.
     entries = prefix_entries(docs, frequent, blocks)
-    often = cut(frequent_entries(entries.where("block < 0")), "frequent-entries")
-    candidates = rare_pairs(entries.where("block >= 0")).select("a", "b").unionByName(star_pairs(often)).distinct()
+    pairs, places = rare_pairs(entries.where("block >= 0"))
+    often = cut(frequent_entries(entries.where("block < 0")).unionByName(places).distinct(), "frequent-entries")
+    candidates = pairs.unionByName(star_pairs(often)).distinct()
     candidates = cut(with_sketches(candidates, cut(small_sketches(nodes), "small-sketches")), "candidates")
     wanted = candidates.select(F.col("a").alias("sid")).unionByName(candidates.select(F.col("b").alias("sid"))).distinct()
     sets = cut(whole_sets(docs, nodes.join(wanted, "sid", "left_semi").select("sid", "doc_id")), "whole-sets")
@@ -472,18 +587,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     labels = cut(components(found), "labels")
     found = found.unionByName(cut(links(labelled(candidates, labels), sets), "links"))
     labels = cut(components(found), "labels")
-    # In frequent columns first the nearest row of each other component, then all that are left.
-    for nearest_only in (True, False):
-        rest = cut(across(often, labels, nodes, nearest_only), "across")
-        if rest.isEmpty():
-            break
-        more = rest.select(F.col("a").alias("sid")).unionByName(rest.select(F.col("b").alias("sid"))).distinct()
-        more = more.join(sets.select("sid").hint("merge"), "sid", "left_anti")
+    # In frequent columns first the nearest row of each other component, whole sets for those left.
+    sketches = nodes.select("sid", "sketch")
+
+    def with_sets(more: DataFrame) -> DataFrame:
+        """All sets so far and those of ``more``."""
+        more = more.distinct().join(sets.select("sid").hint("merge"), "sid", "left_anti")
         more = cut(nodes.join(more.hint("merge"), "sid", "left_semi").select("sid", "doc_id"), "more-rows")
-        if not more.isEmpty():
-            sets = sets.unionByName(cut(whole_sets(docs, more), "whole-sets"))
-        found = found.unionByName(cut(links(rest, sets), "links"))
+        return sets if more.isEmpty() else sets.unionByName(cut(whole_sets(docs, more), "whole-sets"))
+
+    near = cut(nearest_across(*meetings(often, labels), sketches), "nearest-across")
+    if not near.isEmpty():
+        sets = with_sets(near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))))
+        found = found.unionByName(cut(links(near, sets), "links"))
         labels = cut(components(found), "labels")
+        every, minor = meetings(often, labels)
+        rest = cut(rows_near(every, minor, sketches), "rows-near")
+        if not rest.isEmpty():
+            sets = with_sets(rest.select("sid"))
+            keys = ["tok", "band", "i", "j", "sid"]
+            every, minor = (side.join(rest.hint("merge"), keys, "left_semi") for side in (every, minor))
+            found = found.unionByName(cut(links_across(every, minor, sketches, sets), "links"))
+            labels = cut(components(found), "labels")
     node = nodes.select("sid", "doc_id").join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left")
     node = node.withColumn("label", F.coalesce("label", "sid"))
     smallest = node.groupBy("label").agg(F.min("doc_id").alias("component_id"))
