@@ -6,6 +6,7 @@ import pytest
 
 from tests.checker import compare_rows, connect
 from __spark_entry__ import entry, oracle_sql, queries
+from tidepost.plans.catalog import ORACLES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -30,9 +31,10 @@ def test_every_check_has_a_query():
     assert set(oracle_sql()) <= set(queries()) and len(queries()) > 90
 
 
-@pytest.mark.parametrize("key", ["sort_recent", "preview_rows", "live_feed", "top_keywords", "cooc_nodes", "trending_phrases"])
+@pytest.mark.parametrize("key", ["sort_recent", "sort_liked", "sort_shared", "preview_rows", "live_feed", "top_keywords", "cooc_nodes", "trending_phrases"])
 def test_top_k_is_bounded(spark, key):
-    assert "TakeOrderedAndProject" in plan(spark, key)
+    text = plan(spark, key)
+    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
 @pytest.mark.parametrize("key", ["keywords_by_sentiment", "rolling_stats", "entity_union"])
@@ -61,7 +63,9 @@ def test_rows_are_picked_before_they_are_scored(spark, key):
 
 
 def test_lexicon_table_is_broadcast(spark):
-    assert "BroadcastHashJoin" in plan(spark, "lexicon_hits")
+    """The lexicon, and not the words of all texts."""
+    text = plan(spark, "lexicon_hits")
+    assert "BroadcastHashJoin" in text and "BuildRight" in text and "BuildLeft" not in text
 
 
 def test_a_score_is_evaluated_once(spark):
@@ -70,7 +74,13 @@ def test_a_score_is_evaluated_once(spark):
         assert plan(spark, key).count(pattern) <= (2 if key == "multi_engine_scores" else 1), key
 
 
-@pytest.mark.parametrize("key", sorted(oracle_sql()))
+@pytest.mark.parametrize("key", ["filter_topic", "search_summary", "train_rows"])
+def test_a_text_is_cleaned_once(spark, key):
+    """Hash signs are taken out of a text once in cleaning."""
+    assert plan(spark, key).count(", #, ") == 1
+
+
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_against_sql(spark, key):
     """Same rows as the SQL; no cross product, and no Python in the plan."""
     df = queries()[key](spark, SMALL)
@@ -78,5 +88,5 @@ def test_against_sql(spark, key):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     if key not in PYTHON_ALLOWED:
         assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow", text)
-    ok, message = compare_rows(connect(SMALL), df, oracle_sql()[key])
+    ok, message = compare_rows(connect(SMALL), df, ORACLES[key])
     assert ok, message

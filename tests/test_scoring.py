@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepost import rules
 from tidepost.functions import lexicon
-from tidepost.operators import prepare, words
+from tidepost.operators import lexicon_table, prepare, words
 
 TEXTS = [
     "good", "not good", "very good", "not very good", "good but bad", "bad but good",
@@ -96,7 +96,51 @@ def test_keep_where_is_a_filter(spark):
 def test_large_lexicon_takes_the_salted_join(spark, monkeypatch):
     df = spark.createDataFrame([(i, "good good bad table") for i in range(50)], "post_id int, text string")
     small = words.lexicon_hits(df, words.lexicon_frame(spark))
-    monkeypatch.setattr(words, "_is_small", lambda *_: False)
+    monkeypatch.setattr(words, "has_few_rows", lambda *_: False)
     large = words.lexicon_hits(df, words.lexicon_frame(spark))
+    text = large._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
     assert small.count() == 100
+
+
+def test_lexicon_table_agrees_with_its_literal_form(spark, monkeypatch):
+    rows = [
+        (1, "Good good bad, but great!!"), (1, "another text under one id: good"), (2, None), (3, ""), (None, "not good"), (None, "very bad"),
+        (4, "nothing known here"), (5, "never ever REALLY good, slightly bad but so useless"), (5, "never ever REALLY good, slightly bad but so useless"),
+    ]
+    df = spark.createDataFrame([(*r, "own") for r in rows], "post_id bigint, text string, hits string")
+    lexicon = spark.createDataFrame(
+        [("Good", 1.9, 0.7, 0.6), ("good", 2.5, 0.9, 0.1), ("bad", -2.5, -0.7, 0.67), ("great", 3.1, 0.8, None), ("useless", -1.8, -0.5, 0.2),
+         (None, 1.0, 1.0, 1.0), ("a,b:c", 1.0, 1.0, 1.0)],
+        "token string, valence double, polarity double, subjectivity double",
+    )
+    small = lexicon_table.literal_lexicon(lexicon)
+    assert small["good"] == (1.9, 0.7, 0.6) and small["great"][2] == 0.0 and len(small) == 4
+    results = []
+    for most in (1000, 2):
+        monkeypatch.setattr(lexicon_table, "LITERAL_ROWS", most)
+        for engine in ("valence", "polarity"):
+            out = lexicon_table.score_sentiment(df, lexicon, engine, text="text")
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) == (most == 2) and out.columns == [*df.columns, "sentiment_score", "sentiment_label"]
+            results.append(sorted(map(str, out.collect())))
+        results.append(sorted(map(str, lexicon_table.engines_long(df.where("post_id = 5"), lexicon, text="text").collect())))
+        parts = lexicon_table.with_valence(df, lexicon, text="text").select("post_id", "text", "valence.*")
+        results.append(sorted(map(str, parts.collect())))
+    assert results[:4] == results[4:] and len(results[0]) == len(rows)
+
+
+def test_shipped_lexicon_as_a_table_gives_the_same_scores(spark, monkeypatch):
+    texts = [(i, t) for i, t in enumerate(["not a good day", "very happy but so sad!", "the worst", "I love it", "slow and boring, never useful"])]
+    df = spark.createDataFrame(texts, "post_id bigint, clean_text string")
+    plain = prepare.score_sentiment(df).collect()
+    monkeypatch.setattr(lexicon_table, "LITERAL_ROWS", 0)
+    assert sorted(lexicon_table.score_sentiment(df, words.lexicon_frame(spark)).collect()) == sorted(plain)
+
+
+def test_empty_lexicon(spark):
+    df = spark.createDataFrame([(1, "good")], "post_id bigint, clean_text string")
+    none = words.lexicon_frame(spark).limit(0)
+    assert lexicon_table.score_sentiment(df, none).first()["sentiment_score"] == 0.0
+    assert lexicon_table.score_sentiment(df, none, "polarity").first()["sentiment_label"] == "Neutral"

@@ -1,11 +1,14 @@
 """Lexicon scores as row-local expressions: no explode, no join, no shuffle.
 
 A word is first tested against a constant set (one hash probe); only words found there
-pay for the map look-up and for reading the words before them.
+pay for the map look-up and for reading the words before them. A lexicon is a mapping from a word
+to (valence, polarity, subjectivity) that becomes a constant; one that is too large for that is a
+table, see ``operators.lexicon_table``, which shares the rules below.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import add, or_
 
@@ -35,44 +38,58 @@ def _is_one_of(word: Column, few: tuple[str, ...]) -> Column:
     return F.coalesce(F.array_contains(F.split(F.lit(" ".join(few)), " "), word), F.lit(False))
 
 
-def word_valences(words: Column, capitals: Column | None = None) -> Column:
-    """One adjusted valence per word, 0.0 for words outside the lexicon.
+Lexicon = Mapping[str, tuple[float, float, float]]
+
+
+def valence_context(words: Column, i: Column, contrast: Column, capitals: Column | None = None) -> tuple[Column, Column, Column]:
+    """What the words around place ``i`` do to a valence there: shift, factor of negation, factor of
+    contrast. ``contrast`` is the place of the contrast word, counted from 1, or 0.
 
     Degree words within three places before shift the valence, a negator there turns it,
     and a contrast word halves what precedes it and raises what follows. ``capitals`` is an
     array of flags: a word in capitals inside a mixed-case text counts for more.
     """
-    valence_of = _constant_map({w: v[0] for w, v in rules.LEXICON.items()})
     shift_of = _constant_map(rules.DEGREE_SHIFT)
+    before = [F.get(words, i - d) for d in (1, 2, 3)]
+    shift = reduce(
+        add,
+        [
+            F.coalesce(F.try_element_at(shift_of, b) * decay, F.lit(0.0))
+            for b, decay in zip(before, rules.DEGREE_DECAY)
+        ],
+    )
+    if capitals is not None:
+        shift = shift + F.when(F.get(capitals, i), F.lit(rules.CAPITALS_STEP)).otherwise(0.0)
+    turned = reduce(or_, [_is_one_of(b, rules.NEGATORS) for b in before])
+    return (
+        shift,
+        F.when(turned, F.lit(rules.NEGATION_FACTOR)).otherwise(1.0),
+        F.when(contrast == 0, F.lit(1.0))
+        .when(i + 1 < contrast, F.lit(rules.BEFORE_CONTRAST))
+        .otherwise(F.lit(rules.AFTER_CONTRAST)),
+    )
+
+
+def adjusted_valence(own: Column, shift: Column, turned: Column, contrasted: Column) -> Column:
+    return bind(own, lambda v: v + F.signum(v) * shift) * turned * contrasted
+
+
+def contrast_place(words: Column) -> Column:
+    return F.array_position(words, rules.CONTRAST_WORD)
 
-    def at(words_: Column, i: Column, contrast: Column) -> Column:
-        before = [F.get(words_, i - d) for d in (1, 2, 3)]
-        shift = reduce(
-            add,
-            [
-                F.coalesce(F.try_element_at(shift_of, b) * decay, F.lit(0.0))
-                for b, decay in zip(before, rules.DEGREE_DECAY)
-            ],
-        )
-        if capitals is not None:
-            shift = shift + F.when(F.get(capitals, i), F.lit(rules.CAPITALS_STEP)).otherwise(0.0)
-        turned = reduce(or_, [_is_one_of(b, rules.NEGATORS) for b in before])
-        own = F.try_element_at(valence_of, F.get(words_, i))
-        return (
-            bind(own, lambda v: v + F.signum(v) * shift)
-            * F.when(turned, F.lit(rules.NEGATION_FACTOR)).otherwise(1.0)
-            * F.when(contrast == 0, F.lit(1.0))
-            .when(i + 1 < contrast, F.lit(rules.BEFORE_CONTRAST))
-            .otherwise(F.lit(rules.AFTER_CONTRAST))
-        )
+
+def word_valences(words: Column, capitals: Column | None = None, lexicon: Lexicon = rules.LEXICON) -> Column:
+    """One adjusted valence per word, 0.0 for words outside the lexicon: see :func:`valence_context`."""
+    valence_of = _constant_map({w: v[0] for w, v in lexicon.items()})
+
+    def at(i: Column, contrast: Column) -> Column:
+        own = F.try_element_at(valence_of, F.get(words, i))
+        return adjusted_valence(own, *valence_context(words, i, contrast, capitals))
 
     def score_all(contrast: Column) -> Column:
-        return F.transform(
-            words,
-            lambda w, i: F.when(w.isin(*rules.LEXICON), at(words, i, contrast)).otherwise(F.lit(0.0)),
-        )
+        return F.transform(words, lambda w, i: F.when(w.isin(*lexicon), at(i, contrast)).otherwise(F.lit(0.0)))
 
-    return bind(F.array_position(words, rules.CONTRAST_WORD), score_all)
+    return bind(contrast_place(words), score_all) if lexicon else F.transform(words, lambda _: F.lit(0.0))
 
 
 def _total(values: Column, value=lambda x: x) -> Column:
@@ -91,15 +108,15 @@ def _compound(total: Column, emphasis: Column) -> Column:
     return bind(bind(total, lambda s: s + F.signum(s) * emphasis), squash)
 
 
-def _from_valences(text: Column, body) -> Column:
+def _from_valences(text: Column, body, lexicon: Lexicon) -> Column:
     safe = F.coalesce(text, F.lit(""))
-    return bind(lexicon_words(safe), lambda ws: bind(word_valences(ws), body))
+    return bind(lexicon_words(safe), lambda ws: bind(word_valences(ws, lexicon=lexicon), body))
 
 
-def valence_score(text: Column) -> Column:
+def valence_score(text: Column, lexicon: Lexicon = rules.LEXICON) -> Column:
     """Compound score in [-1, 1]; null or empty text is 0.0."""
     safe = F.coalesce(text, F.lit(""))
-    return _from_valences(text, lambda vs: _compound(_total(vs), _exclamations(safe)))
+    return _from_valences(text, lambda vs: _compound(_total(vs), _exclamations(safe)), lexicon)
 
 
 def raw_valence_score(text: Column) -> Column:
@@ -126,15 +143,15 @@ def raw_valence_score(text: Column) -> Column:
     )
 
 
-def valence_shares(text: Column) -> Column:
-    """``struct<compound, positive, neutral, negative>``; the three shares add up to 1."""
-    safe = F.coalesce(text, F.lit(""))
+def shares_of(values: Column, silent: Column, text: Column) -> Column:
+    """``struct<compound, positive, neutral, negative>`` of the adjusted valences of a text, in order,
+    and the number of its other words."""
 
     def shares(vs: Column) -> Column:
         sums = F.struct(
             _total(vs, lambda v: F.when(v > 0, v + 1.0).otherwise(0.0)).alias("up"),
             _total(vs, lambda v: F.when(v < 0, 1.0 - v).otherwise(0.0)).alias("down"),
-            _total(vs, lambda v: F.when(v == 0, F.lit(1.0)).otherwise(0.0)).alias("flat"),
+            (_total(vs, lambda v: F.when(v == 0, F.lit(1.0)).otherwise(0.0)) + silent).alias("flat"),
         )
 
         def ratio(s: Column) -> Column:
@@ -144,7 +161,7 @@ def valence_shares(text: Column) -> Column:
                 return F.when(whole > 0, F.round(s.getField(part) / whole, 3)).otherwise(0.0)
 
             return F.struct(
-                _compound(_total(vs), _exclamations(safe)).alias("compound"),
+                _compound(_total(vs), _exclamations(F.coalesce(text, F.lit("")))).alias("compound"),
                 of("up").alias("positive"),
                 of("flat").alias("neutral"),
                 of("down").alias("negative"),
@@ -152,35 +169,29 @@ def valence_shares(text: Column) -> Column:
 
         return bind(sums, ratio)
 
-    return _from_valences(text, shares)
+    return bind(values, shares)
 
 
-def polarity_parts(text: Column) -> Column:
-    """``struct<polarity, subjectivity>``: means over the lexicon words of the text.
+def valence_shares(text: Column, lexicon: Lexicon = rules.LEXICON) -> Column:
+    """``struct<compound, positive, neutral, negative>``; the three shares add up to 1."""
+    return _from_valences(text, lambda vs: shares_of(vs, F.lit(0), text), lexicon)
 
-    A degree word just before scales the polarity (within [-1, 1]); a negator among the
-    two words before multiplies it by -0.5. No lexicon word gives 0.0 for both.
-    """
-    polarity_of = _constant_map({w: v[1] for w, v in rules.LEXICON.items()})
-    subjectivity_of = _constant_map({w: v[2] for w, v in rules.LEXICON.items()})
-    factor_of = _constant_map(rules.DEGREE_FACTOR)
 
-    def read(words: Column) -> Column:
-        def one(w: Column, i: Column) -> Column:
-            before = [F.get(words, i - d) for d in (1, 2)]
-            degree = F.coalesce(F.try_element_at(factor_of, before[0]), F.lit(1.0))
-            turned = reduce(or_, [_is_one_of(b, rules.NEGATORS) for b in before])
-            scaled = F.try_element_at(polarity_of, w) * degree
-            bounded = F.least(F.greatest(scaled, F.lit(-1.0)), F.lit(1.0))
-            return F.when(
-                w.isin(*rules.LEXICON),
-                F.struct(
-                    (bounded * F.when(turned, F.lit(rules.POLARITY_NEGATION)).otherwise(1.0)).alias("p"),
-                    F.try_element_at(subjectivity_of, w).alias("s"),
-                ),
-            )
+def polarity_context(words: Column, i: Column) -> tuple[Column, Column]:
+    """Factors on the polarity at place ``i``: of a degree word just before, and of a negator among the
+    two words before."""
+    before = [F.get(words, i - d) for d in (1, 2)]
+    degree = F.coalesce(F.try_element_at(_constant_map(rules.DEGREE_FACTOR), before[0]), F.lit(1.0))
+    turned = reduce(or_, [_is_one_of(b, rules.NEGATORS) for b in before])
+    return degree, F.when(turned, F.lit(rules.POLARITY_NEGATION)).otherwise(1.0)
 
-        return F.filter(F.transform(words, one), lambda x: x.isNotNull())
+
+def adjusted_polarity(own: Column, degree: Column, turned: Column) -> Column:
+    return F.least(F.greatest(own * degree, F.lit(-1.0)), F.lit(1.0)) * turned
+
+
+def means_of(found: Column) -> Column:
+    """``struct<polarity, subjectivity>`` of an array of (p, s); 0.0 for both if it is empty."""
 
     def mean(found: Column) -> Column:
         n = F.size(found)
@@ -191,8 +202,29 @@ def polarity_parts(text: Column) -> Column:
 
         return F.struct(of("p").alias("polarity"), of("s").alias("subjectivity"))
 
-    return bind(lexicon_words(F.coalesce(text, F.lit(""))), lambda ws: bind(read(ws), mean))
+    return bind(found, mean)
+
+
+def polarity_parts(text: Column, lexicon: Lexicon = rules.LEXICON) -> Column:
+    """``struct<polarity, subjectivity>``: means over the lexicon words of the text.
+
+    A degree word just before scales the polarity (within [-1, 1]); a negator among the
+    two words before multiplies it by -0.5. No lexicon word gives 0.0 for both.
+    """
+    polarity_of = _constant_map({w: v[1] for w, v in lexicon.items()})
+    subjectivity_of = _constant_map({w: v[2] for w, v in lexicon.items()})
+
+    def read(words: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            p = adjusted_polarity(F.try_element_at(polarity_of, w), *polarity_context(words, i))
+            return F.when(w.isin(*lexicon), F.struct(p.alias("p"), F.try_element_at(subjectivity_of, w).alias("s")))
+
+        return F.filter(F.transform(words, one), lambda x: x.isNotNull())
+
+    if not lexicon:
+        return F.struct(F.lit(0.0).alias("polarity"), F.lit(0.0).alias("subjectivity"))
+    return bind(lexicon_words(F.coalesce(text, F.lit(""))), lambda ws: means_of(read(ws)))
 
 
-def polarity_score(text: Column) -> Column:
-    return polarity_parts(text).getField("polarity")
+def polarity_score(text: Column, lexicon: Lexicon = rules.LEXICON) -> Column:
+    return polarity_parts(text, lexicon).getField("polarity")

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidepost.operators.prepare import keep_where
 from tidepost.functions.labels import model_score
 from tidepost.functions.text import is_blank
 from tidepost.operators import evaluation
@@ -56,8 +57,11 @@ class Trained:
 
 
 def train_rows(df: DataFrame, text: str = "clean_text", label: str = "sentiment_label") -> DataFrame:
-    """Rows that can be trained on: text and label there, text not blank."""
-    return df.filter(~is_blank(F.col(text)) & F.col(label).isNotNull())
+    """Rows that can be trained on: text and label there, text not blank.
+
+    Texts are mostly cleaned in the same plan, so they are tested where they stand.
+    """
+    return keep_where(df, ~is_blank(F.col(text)) & F.col(label).isNotNull())
 
 
 def with_training_text(df: DataFrame) -> DataFrame:

@@ -98,7 +98,7 @@ def score_with(df: DataFrame, scorer: Callable, text: str = "text", score: str =
     return df.mapInPandas(run, schema)
 
 
-def engines_of(text: Column) -> Column:
+def engine_row(valence: Column, polarity: Column) -> Column:
     """Array with one struct per lexicon engine: name, score, label and what else it reports."""
 
     def engine(name: str, score: Column, details: dict[str, Column]) -> Column:
@@ -112,14 +112,16 @@ def engines_of(text: Column) -> Column:
             ).alias("details"),
         )
 
-    def both(v: Column, p: Column) -> Column:
-        shares = {k: v[k] for k in ("compound", "positive", "neutral", "negative")}
-        parts = {k: p[k] for k in ("polarity", "subjectivity")}
-        return F.array(engine("valence", v["compound"], shares), engine("polarity", p["polarity"], parts))
+    shares = {k: valence[k] for k in ("compound", "positive", "neutral", "negative")}
+    parts = {k: polarity[k] for k in ("polarity", "subjectivity")}
+    return F.array(engine("valence", valence["compound"], shares), engine("polarity", polarity["polarity"], parts))
+
 
+def engines_of(text: Column) -> Column:
+    """The engines of one text, each evaluated once."""
     return bind(
         lexicon.valence_shares(text),
-        lambda v: bind(lexicon.polarity_parts(text), lambda p: both(v, p)),
+        lambda v: bind(lexicon.polarity_parts(text), lambda p: engine_row(v, p)),
     )
 
 

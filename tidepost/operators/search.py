@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepost.operators.prepare import keep_where
 from tidepost.sources.listing import matches
 
 # Sort choice -> (column, ascending); anything else means newest first.
@@ -32,8 +33,13 @@ def filter_keyword(df: DataFrame, keyword: str | None, text: str = "text", liter
     return df.filter(matches(F.col(text), keyword, literal)) if keyword else df
 
 
-def filter_topics(df: DataFrame, topics, topic: str = "topic") -> DataFrame:
-    return df.filter(F.col(topic).isin(*topics)) if topics else df
+def filter_topics(df: DataFrame, topics, topic: str = "topic", stored: bool = False) -> DataFrame:
+    """``stored`` tells that topics come from a scan, which the filter then reaches; a topic computed
+    in the same plan is tested where it stands, so that texts are cleaned once."""
+    if not topics:
+        return df
+    wanted = F.col(topic).isin(*topics)
+    return df.filter(wanted) if stored else keep_where(df, wanted)
 
 
 def distinct_topics(df: DataFrame, topic: str = "topic") -> DataFrame:
@@ -53,17 +59,22 @@ def sort_order(by: str = "Most Recent", key: str = "post_id") -> list[Column]:
 
 def sorted_posts(df: DataFrame, by: str = "Most Recent", n: int | None = CARDS, key: str = "post_id") -> DataFrame:
     ordered = df.orderBy(*sort_order(by, key))
-    return ordered.limit(n) if n else ordered
+    return _first(ordered, n) if n else ordered
 
 
-def search(df: DataFrame, keyword=None, topics=(), sentiments=(), literal: bool = False) -> DataFrame:
-    out = filter_topics(filter_keyword(df, keyword, literal=literal), topics)
-    return filter_sentiment(out, sentiments) if sentiments else out
+def _first(ordered: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows. What is computed of them later stays above a generator: Spark would move
+    the limit below such projections, away from its sort, and then sort everything."""
+    return keep_where(ordered.limit(n), F.lit(True))
+
+
+def search(df: DataFrame, keyword=None, topics=(), sentiments=(), literal: bool = False, stored: bool = False) -> DataFrame:
+    out = filter_topics(filter_keyword(df, keyword, literal=literal), topics, stored=stored)
+    if not sentiments:
+        return out
+    return filter_sentiment(out, sentiments) if stored else keep_where(out, has_sentiment(sentiments))
 
 
 def live_feed(df: DataFrame, n: int = FEED, key: str = "post_id") -> DataFrame:
-    return (
-        df.orderBy(F.col("timestamp").desc_nulls_last(), F.col(key))
-        .limit(n)
-        .withColumn("clock", F.date_format("timestamp", "HH:mm:ss"))
-    )
+    ordered = df.orderBy(F.col("timestamp").desc_nulls_last(), F.col(key))
+    return _first(ordered, n).withColumn("clock", F.date_format("timestamp", "HH:mm:ss"))

@@ -12,14 +12,21 @@ from tidepost.functions.lexicon import lexicon_words
 from tidepost.functions.text import letter_words, phrases
 
 SALTS = 32
+#: Rows of a word table that is sent to every task.
+FEW_ROWS = 20_000
 
 
-def _salted(df: DataFrame) -> DataFrame:
+def has_few_rows(df: DataFrame, most: int = FEW_ROWS) -> bool:
+    """Whether a table is small enough to be sent to every task; reads ``most`` rows and one more."""
+    return df.limit(most + 1).count() <= most
+
+
+def salted(df: DataFrame) -> DataFrame:
     """Rows dealt to ``SALTS`` numbers by input task, so that a word found everywhere is spread."""
     return df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
 
 
-def _copies(df: DataFrame) -> DataFrame:
+def salted_copies(df: DataFrame) -> DataFrame:
     return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
@@ -44,7 +51,7 @@ def drop_stop_words(df: DataFrame, stop_words=rules.STOP_WORDS, word: str = "wor
     if not isinstance(stop_words, DataFrame):
         return df.filter(~F.col(word).isin(*stop_words))
     stops = stop_words.select(F.col(stop_words.columns[0]).alias(word)).distinct()
-    return _salted(df).join(_copies(stops), [word, "_salt"], "left_anti").drop("_salt")
+    return salted(df).join(salted_copies(stops), [word, "_salt"], "left_anti").drop("_salt")
 
 
 def word_counts(df: DataFrame, *by: str, text: str = "text", where: Column | None = None) -> DataFrame:
@@ -121,12 +128,16 @@ def lexicon_frame(spark) -> DataFrame:
 def lexicon_hits(df: DataFrame, lexicon: DataFrame, key: str = "post_id", text: str = "text") -> DataFrame:
     """Lexicon words per post with their count and summed valence, for any lexicon table.
 
-    The join is on (token, salt), so that a word found in every post is spread over ``SALTS``
-    tasks; whether the lexicon is broadcast is left to Spark.
+    Few rows (counted up to ``FEW_ROWS``) are sent to all tasks. Beyond that the join is on
+    (token, salt) by merging, so that a word found in every post is spread over ``SALTS`` tasks. Spark
+    itself would go by estimated sizes, in which exploded words weigh no more than the posts.
     """
     found = df.select(key, F.explode(lexicon_words(F.col(text))).alias("token"))
     unique = lexicon.dropDuplicates(["token"])
-    joined = _salted(found).join(_copies(unique), ["token", "_salt"])
+    if has_few_rows(lexicon):
+        joined = found.join(F.broadcast(unique), "token")
+    else:
+        joined = salted(found).join(salted_copies(unique).hint("merge"), ["token", "_salt"])
     return joined.groupBy(key, "token").agg(
         F.count("*").alias("n"), F.round(F.sum("valence"), 4).alias("valence_sum")
     )

@@ -64,7 +64,7 @@ def words(x: str) -> str:
     return f"unnest(regexp_extract_all(lower({x}), {quoted(tx.KEYWORD_PATTERN)}))"
 
 
-def valence(name: str, source: str, key: str, text: str, raw: bool = False) -> dict[str, str]:
+def valence(name: str, source: str, key: str, text: str, raw: bool = False, lexicon: str = "lexicon") -> dict[str, str]:
     """CTEs ending in ``name(id, compound, positive, neutral, negative)``."""
     read = text if raw else f"lower({text})"
     shouted = "upper(raw) = raw AND lower(raw) <> raw"
@@ -88,7 +88,7 @@ def valence(name: str, source: str, key: str, text: str, raw: bool = False) -> d
                        OR w3 IN ({listed(rules.NEGATORS)}) THEN {rules.NEGATION_FACTOR} ELSE 1.0 END
               * CASE WHEN contrast IS NULL THEN 1.0 WHEN i < contrast THEN {rules.BEFORE_CONTRAST}
                      ELSE {rules.AFTER_CONTRAST} END AS c
-            FROM {name}_ctx c JOIN lexicon l ON c.w = l.w
+            FROM {name}_ctx c JOIN {lexicon} l ON c.w = l.w
               LEFT JOIN shifts s1 ON c.w1 = s1.w LEFT JOIN shifts s2 ON c.w2 = s2.w
               LEFT JOIN shifts s3 ON c.w3 = s3.w""",
         f"{name}_sum": f"""
@@ -98,7 +98,7 @@ def valence(name: str, source: str, key: str, text: str, raw: bool = False) -> d
                 * {rules.EXCLAMATION_STEP} AS emphasis
             FROM {name}_text t JOIN {name}_list l USING (id)
             LEFT JOIN (SELECT id, sum(c) AS s, sum(CASE WHEN c > 0 THEN c + 1 ELSE 0 END) AS up,
-                         sum(CASE WHEN c < 0 THEN 1 - c ELSE 0 END) AS down, count(*) AS n
+                         sum(CASE WHEN c < 0 THEN 1 - c ELSE 0 END) AS down, count(*) FILTER (WHERE c <> 0) AS n
                        FROM {name}_hit GROUP BY id) h USING (id)
             GROUP BY t.id""",
         name: f"""
@@ -112,7 +112,7 @@ def valence(name: str, source: str, key: str, text: str, raw: bool = False) -> d
     }
 
 
-def polarity(name: str, source: str, key: str, text: str) -> dict[str, str]:
+def polarity(name: str, source: str, key: str, text: str, lexicon: str = "lexicon") -> dict[str, str]:
     """CTEs ending in ``name(id, polarity, subjectivity)``."""
     return {
         f"{name}_tok": f"""
@@ -126,7 +126,7 @@ def polarity(name: str, source: str, key: str, text: str) -> dict[str, str]:
             SELECT id, least(greatest(l.polarity * coalesce(f.factor, 1.0), -1.0), 1.0)
                 * CASE WHEN w1 IN ({listed(rules.NEGATORS)}) OR w2 IN ({listed(rules.NEGATORS)})
                        THEN {rules.POLARITY_NEGATION} ELSE 1.0 END AS p, l.subjectivity AS s
-            FROM {name}_ctx c JOIN lexicon l ON c.w = l.w LEFT JOIN factors f ON c.w1 = f.w""",
+            FROM {name}_ctx c JOIN {lexicon} l ON c.w = l.w LEFT JOIN factors f ON c.w1 = f.w""",
         name: f"""
             SELECT x.{key} AS id, coalesce(round(h.p, 4), 0.0) AS polarity, coalesce(round(h.s, 4), 0.0) AS subjectivity
             FROM {source} x LEFT JOIN (SELECT id, sum(p) / count(*) AS p, sum(s) / count(*) AS s
@@ -189,6 +189,16 @@ CTES: dict[str, str] = {
         FROM posts p JOIN raw r ON r.id = p.post_id""",
     "docs": f"SELECT doc_id, source, text, {clean('text')} AS clean_text FROM documents",
     **valence("dval", "docs", "doc_id", "clean_text"),
+    # A lexicon made from the words of all documents.
+    "doc_lexicon": f"""
+        SELECT w, ((n * 37 + len(w) * 11) % 81 - 40) / 10.0::DOUBLE AS valence, ((n * 53 + len(w) * 7) % 195 - 97) / 97.0::DOUBLE AS polarity,
+          (n * 29 + len(w)) % 89 / 89.0::DOUBLE AS subjectivity
+        FROM (SELECT w, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), {quoted(lx.WORD_PATTERN)})) AS w
+              FROM documents) GROUP BY w) WHERE n >= 2 AND len(w) >= 2 AND (n + len(w)) % 2 = 0""",
+    "turns": "SELECT conv_id || '-' || turn AS turn_id, conv_id, turn, role, text FROM conversations",
+    **valence("tval", "documents", "doc_id", "text", lexicon="doc_lexicon"),
+    **polarity("tpol", "turns", "turn_id", "text", lexicon="doc_lexicon"),
+    **valence("cval", "turns", "turn_id", "text", lexicon="doc_lexicon"),
     "doc_words": f"""
         SELECT doc_id, w AS word FROM (SELECT doc_id, {words('text')} AS w FROM documents) WHERE w NOT IN ({STOPS})""",
     "doc_sets": "SELECT DISTINCT doc_id, word FROM doc_words",
