@@ -37,13 +37,13 @@ def make(sizes):
     return rows
 
 
-@pytest.mark.parametrize("chunk", [1, 20, 200, 10**9])
+@pytest.mark.parametrize("partitions", [1, 7, 300, None])
 @pytest.mark.parametrize("exclude", [False, True])
-def test_split_series_give_the_same_result(spark, chunk, exclude):
+def test_split_series_give_the_same_result(spark, partitions, exclude):
     # one series holds most rows; others are shorter than a frame
     rows = make({"big": 3000, "one": 1, "two": 2, "three": 3, "five": 5, "ten": 10, "eleven": 11})
     df = spark.createDataFrame(rows, DDL)
-    out = rolling.rolling_stats(df, value="value", rows_per_chunk=chunk, exclude_current=exclude)
+    out = rolling.rolling_stats(df, value="value", partitions=partitions, exclude_current=exclude)
     expected = by_hand(rows, exclude)
     got = {r["post_id"]: r for r in out.collect()}
     assert len(got) == len(rows)
@@ -54,16 +54,23 @@ def test_split_series_give_the_same_result(spark, chunk, exclude):
     assert any(v[2] for v in expected.values())
 
 
-def test_chunks_really_split_the_big_series(spark):
+def test_one_series_is_spread_over_hundreds_of_partitions(spark):
+    """Its rows are ranged in order, and no row of the tables between grows with them."""
     df = spark.createDataFrame(make({"big": 4000, "small": 40}), DDL)
-    parts = rolling._chunked(df, "platform", ("timestamp", "post_id"), 64)
+    parts = rolling.ranged(df, "platform", ("timestamp", "post_id"), 300)
     sizes = [r["count"] for r in parts.filter("platform = 'big'").groupBy("_chunk").count().collect()]
-    assert len(sizes) > 30 and max(sizes) < 4000 / 8
+    assert len(sizes) > 200 and max(sizes) < 4000 / 50
+    bounds = parts.filter("platform = 'big'").groupBy("_chunk").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    ends = [(r["a"], r["b"]) for r in bounds.orderBy("_chunk").collect()]
+    assert all(x[1] <= y[0] for x, y in zip(ends, ends[1:]))
+    carried = rolling._carried(parts, "platform", ("timestamp", "post_id"), "value", 9)
+    assert carried.groupBy("platform", "_chunk").count().agg(F.max("count")).first()[0] <= 10
+    assert not any(t.startswith("array") for _, t in (*parts.dtypes, *carried.dtypes))
 
 
 def test_null_series_and_null_times_are_kept(spark):
     rows = [(i, None, None if i < 3 else i, float(i)) for i in range(40)]
-    out = rolling.rolling_stats(spark.createDataFrame(rows, DDL), value="value", rows_per_chunk=4).collect()
+    out = rolling.rolling_stats(spark.createDataFrame(rows, DDL), value="value", partitions=10).collect()
     got = {r["post_id"]: r["rolling_mean"] for r in out}
     assert len(got) == 40 and got[39] == pytest.approx(34.5) and got[2] == pytest.approx(1.0)
 

@@ -83,7 +83,7 @@ def test_entities_and_windows(spark, tmp_path):
 @pytest.mark.parametrize("pieces", [[40], [3, 1, 17, 19]])
 def test_rolling_bands_over_batches_equal_batch(spark, tmp_path, pieces):
     rows = [(i, "ab"[i % 2], i, "", float(i * 37 % 23) + (500.0 if i == 30 else 0.0)) for i in range(40)]
-    bands = sinks.RollingBands(str(tmp_path / "bands"), "platform", "value", "timestamp", "post_id", rows_per_chunk=10)
+    bands = sinks.RollingBands(str(tmp_path / "bands"), "platform", "value", "timestamp", "post_id", partitions=10)
     at = 0
     for n in pieces:
         land(posts(spark, rows[at : at + n]), tmp_path / "in")

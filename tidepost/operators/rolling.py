@@ -1,9 +1,9 @@
 """Rolling mean, deviation, bands and outliers over the last rows of each series.
 
 ``Window.partitionBy(series)`` alone would put a whole series into one task, and one series
-may hold a third of all rows. The rows of a series are therefore cut into chunks of about
-equal size at (time, id) bounds that a hash picks, and each chunk is given copies of the few rows
-before it. The hash decides only where the cuts are, never the result.
+may hold a third of all rows. All rows are therefore ranged by (series, time, id) into partitions
+of about equal size, whatever the series; the partitions are written, so that every later read sees
+the same ones, and each is handed the few rows of its series that stand before it.
 """
 
 from __future__ import annotations
@@ -12,61 +12,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidepost.sources.workdir import fresh_path
+
 # Frame length and band width.
 WINDOW_ROWS = 10
 BAND_WIDTH = 2.0
 
-#: Rows of a chunk, on average: one row in so many is a cut.
-ROWS_PER_CHUNK = 20_000
-# cuts per block of the two-step search
-BLOCK = 64
-
-
-def _series_name(series: Column) -> Column:
-    """Text form used to look cuts up; two series sharing a name would only share cuts."""
-    return F.coalesce(series.cast("string"), F.lit(""))
-
 
-def cut_points(df: DataFrame, series: str, order: tuple[str, str], rows_per_chunk: int) -> DataFrame:
-    """One row per series: its cuts (sorted (time, id) pairs), in blocks.
+def ranged(df: DataFrame, series: str, order: tuple[str, str], partitions: int | None = None) -> DataFrame:
+    """``df`` with ``_chunk``, the number of the range of (series, time, id) a row is in, as a stored table.
 
-    Every row whose (time, id) hashes to one residue is a cut, so the number of cuts follows the
-    rows of each series, no row is counted or collected beforehand, and any run makes the same
-    cuts.
+    Spark samples the input for the bounds and reads it once more to deal it out. The ranges are
+    written because a range computed again may have other bounds.
     """
-    ts, key = order
-    rows = df.select(_series_name(F.col(series)).alias("_name"), F.struct(F.col(ts).alias("t"), F.col(key).alias("k")).alias("c"))
-    chosen = F.pmod(F.xxhash64("c"), F.lit(rows_per_chunk)) == 0
-    rows = rows.filter(chosen & F.col("c.t").isNotNull() & F.col("c.k").isNotNull())
-    cuts = rows.groupBy("_name").agg(F.sort_array(F.collect_set("c")).alias("_cuts"))
-    starts = F.sequence(F.lit(1), F.size("_cuts"), F.lit(BLOCK))
-    return cuts.select(
-        "_name",
-        F.transform(starts, lambda i: F.get(F.col("_cuts"), i - 1)).alias("_firsts"),
-        F.transform(starts, lambda i: F.slice("_cuts", i, BLOCK)).alias("_blocks"),
-    )
-
-
-def _passed(cuts: Column, here: Column) -> Column:
-    return F.size(F.filter(cuts, lambda c: c <= here))
-
-
-def _chunked(df: DataFrame, series: str, order: tuple[str, str], rows_per_chunk: int) -> DataFrame:
-    """Adds ``_chunk``: the number of cuts at or before the row within its series.
-
-    Whether the cuts are broadcast is left to Spark, which knows their size at run time.
-    """
-    cuts = cut_points(df, series, order, rows_per_chunk)
-    here = F.struct(F.col(order[0]).alias("t"), F.col(order[1]).alias("k"))
-    block = _passed(F.col("_firsts"), here)
-    inside = F.coalesce(_passed(F.get("_blocks", F.col("_block") - 1), here), F.lit(0))
-    return (
-        df.withColumn("_name", _series_name(F.col(series)))
-        .join(cuts, "_name", "left")
-        .withColumn("_block", F.coalesce(block, F.lit(0)))
-        .withColumn("_chunk", F.greatest((F.col("_block") - 1) * BLOCK, F.lit(0)) + inside)
-        .select(*df.columns, "_chunk")
-    )
+    by = [F.col(c) for c in (series, *order)]
+    dealt = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    path = fresh_path(df.sparkSession, "ranges")
+    rows = dealt.withColumn("_chunk", F.spark_partition_id())
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _carried(rows: DataFrame, series: str, order: tuple[str, str], value: str, before: int) -> DataFrame:
@@ -111,17 +75,18 @@ def rolling_stats(
     window: int = WINDOW_ROWS,
     width: float = BAND_WIDTH,
     exclude_current: bool = False,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
+    partitions: int | None = None,
     digits: int | None = None,
 ) -> DataFrame:
     """Adds ``rolling_mean``, ``rolling_std``, ``upper_band``, ``lower_band``, ``is_anomaly``.
 
     The frame is the last ``window`` rows of the series up to the current row, or the
     ``window`` rows before it with ``exclude_current``. A series of one or two rows has bands
-    equal to its values and no outliers. ``value`` must not be null.
+    equal to its values and no outliers. ``value`` must not be null. ``partitions`` is the number of
+    ranges; Spark decides without it. The result is the same for any.
     """
     before = window if exclude_current else window - 1
-    rows = _chunked(df, series, (ts, key), rows_per_chunk)
+    rows = ranged(df, series, (ts, key), partitions)
     carried = _carried(rows, series, (ts, key), value, before)
     both = rows.withColumn("_own", F.lit(True)).unionByName(
         carried.withColumn("_own", F.lit(False)), allowMissingColumns=True

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidepost.operators.rolling import ROWS_PER_CHUNK, WINDOW_ROWS, rolling_stats
+from tidepost.operators.rolling import WINDOW_ROWS, rolling_stats
 from tidepost.sources.workdir import fresh_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -116,9 +116,9 @@ class RollingBands:
     looks at the rows seen so far. ``key`` tells the rows of a series apart.
     """
 
-    def __init__(self, path: str, series: str, value: str, ts: str, key: str, rows_per_chunk: int = ROWS_PER_CHUNK, **options):
+    def __init__(self, path: str, series: str, value: str, ts: str, key: str, partitions: int | None = None, **options):
         self.path, self.series, self.value, self.ts, self.key = path, series, value, ts, key
-        self.rows_per_chunk, self.options = rows_per_chunk, options
+        self.partitions, self.options = partitions, options
         window = options.get("window", WINDOW_ROWS)
         # three rows tell a short series from a long one
         self.carry = max(window - (0 if options.get("exclude_current") else 1), 3)
@@ -158,7 +158,7 @@ class RollingBands:
                 rows = rows.unionByName(again.withColumn("_new", F.lit(True)))
                 rows = rows.unionByName(context.withColumn("_new", F.lit(False)))
             stats = rolling_stats(
-                rows, self.series, self.value, self.ts, self.key, rows_per_chunk=self.rows_per_chunk, **self.options
+                rows, self.series, self.value, self.ts, self.key, partitions=self.partitions, **self.options
             )
             stats.filter("_new").drop("_new").write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch_id}")
             self._last(rows.select(*batch.columns)).write.mode("overwrite").parquet(self._state(batch_id))
