@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepost.llm.common import cut, map_rows, text_of
+from tidepost.llm.passages import later_passages
 from tidepost.llm.suffixes import common_prefixes, join_texts, suffix_array
 
 LENGTH = 400
@@ -349,31 +350,37 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def cut_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` per document.
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, n_repeated`` per document.
 
     Every byte of a string of 400 bytes that also starts elsewhere goes, in all places, judged on
     the input. A null text is empty, and texts under 400 bytes stay. Rows that repeat cover each
     other, with any ids. ``kept`` holds the remaining bytes, which may end within a character. An
-    empty table gives no rows; other columns are not looked at.
+    empty table gives no rows; other columns are not looked at. ``n_repeated`` counts, apart from all
+    that, the bytes of passages of some fifty words that an earlier place has too, which mostly are
+    shorter than 400 bytes: see :mod:`passages`.
     """
     marks = cut(covered_places(docs), "covered-places")
+    later = cut(later_passages(docs), "later-passages")
+    later = later.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "passages").hint("merge")
     rows = texts_of(docs, "doc_id").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    joined = rows.join(marks.hint("merge"), ["th", "n"], "left").select("doc_id", "text", "spans")
+    joined = rows.join(marks.hint("merge"), ["th", "n"], "left")
+    joined = joined.join(later, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    joined = joined.select("doc_id", "text", "spans", "passages")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "n_repeated"]
         for batch in batches:
             out = []
-            for text, spans in zip(encoded(batch, 1), batch.column(2).to_pylist(), strict=True):
+            for text, spans, later in zip(encoded(batch, 1), *(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
                 gone = merged(spans or [])
                 ends = [0, *[e for _, e in gone]]
                 starts = [*[s for s, _ in gone], len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(ends, starts, strict=True))
-                out.append((len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                out.append((len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept, sum(e - s for s, e in merged(later or []))))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
 
-    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+    schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, n_repeated bigint"
     return map_rows(joined, schema, work)
