@@ -1,10 +1,12 @@
 """Personal data by patterns and by bootstrapped contexts, in DataFrame operations alone.
 
-Fixed patterns give the base spans, which are the seeds. The two words before an identifier are
-its context. Contexts and identifiers form a graph: a context is trusted for a kind by the share
-of its identifiers that are known to be of the kind, an identifier by its best context, and the
-two are scored in turn. Identifiers that no fixed pattern finds are added where they follow a
-trusted context and have the shape of the kind.
+Fixed patterns give the base spans, which are the seeds of their kinds; the seeds of a further kind,
+secrets, are long runs of hexadecimal digits or of letters of both cases and digits. The words
+around an identifier are its contexts: the two and the three before it, and the one on either side.
+Contexts and identifiers form a graph: a context is trusted for a kind by the share of its
+identifiers that are known to be of the kind, an identifier by its best context, and the two are
+scored in turn. Identifiers that no fixed pattern finds are added where they stand in a trusted
+context and have the shape of the kind, and so are secrets, which are no base spans even as seeds.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from tidepost.llm.common import cut, text_hash, text_of
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
 
 # Fixed by the contract. Quantifiers are possessive where nothing is ever given back, and a match
 # starts at the end of the last one or where its run of characters starts, so that long runs are
@@ -27,9 +30,15 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: What may be an identifier: a word with an @, or digits with at most two marks between them.
-CANDIDATE = r"(?<!\S)[^@\s]*+@\S++|(?<![0-9A-Za-z])[+(]?[0-9](?:[().\x20-]{0,2}[0-9])++"
-CONTEXT = r"(\S{1,32}\s+\S{1,32})\s*$"
+#: What may be an identifier: a word with an @, a run of letters and digits, or digits with at most two
+#: marks between them.
+CANDIDATE = (
+    r"(?<!\S)[^@\s]*+@\S++|(?<![0-9A-Za-z_-])(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[0-9A-Za-z_-]{8,}+"
+    r"|(?<![0-9A-Za-z])[+(]?[0-9](?:[().\x20-]{0,2}[0-9])++"
+)
+SECRET_SEED = r"^(?:[0-9A-Fa-f]{32,}|(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9].*[0-9])[0-9A-Za-z_-]{24,})$"
+CONTEXTS = {"two": r"(\S{1,32}\s+\S{1,32})\s*$", "three": r"(\S{1,32}\s+\S{1,32}\s+\S{1,32})\s*$"}
+WORD_BEFORE, WORD_AFTER = r"(\S{1,32})\s*$", r"^\s*(\S{1,32})"
 CONTEXT_CHARS = 80
 ROUNDS = 3
 LEAST_TRUST = 0.6
@@ -71,14 +80,15 @@ def shapes(value: Column) -> Column:
     shape = {
         "email": value.contains("@") & (F.length(value) >= 5),
         "ip": value.rlike(r"^[0-9]+(?:\.[0-9]+){3,}$"),
-        "card": ~value.contains("@") & count.between(12, 19),
-        "phone": ~value.contains("@") & count.between(7, 15),
+        "card": ~value.contains("@") & ~value.rlike("[A-Za-z]") & count.between(12, 19),
+        "phone": ~value.contains("@") & ~value.rlike("[A-Za-z]") & count.between(7, 15),
+        SECRET: value.rlike("^[0-9A-Za-z_-]{8,}$") & value.rlike("[0-9]") & value.rlike("[A-Za-z]"),
     }
     return F.array_compact(F.array(*[F.when(test, F.lit(kind)) for kind, test in shape.items()]))
 
 
 def located(text: Column, kind: str, pattern: str) -> Column:
-    """Matches as structs: number, kind, characters since the last match, length, value, before.
+    """Matches as structs: number, kind, characters since the last match, length, value, before, after.
 
     ``split`` and ``regexp_extract_all`` see the same matches; ``transform`` over one element binds
     both results, so that each is computed once.
@@ -91,6 +101,7 @@ def located(text: Column, kind: str, pattern: str) -> Column:
             return F.struct(
                 at.alias("number"), F.lit(kind).alias("kind"), F.length(gap).alias("gap"), F.length(value).alias("length"),
                 value.alias("value"), F.lower(F.substring(gap, -CONTEXT_CHARS, CONTEXT_CHARS)).alias("before"),
+                F.lower(F.substring(F.get(both["gaps"], at + 1), 1, CONTEXT_CHARS)).alias("after"),
             )
 
         return F.transform(both["values"], one)
@@ -99,7 +110,7 @@ def located(text: Column, kind: str, pattern: str) -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """``doc_id, th, row, kind, start, end, value, before`` of all matches and candidates.
+    """``doc_id, th, row, kind, start, end, value, before, after`` of all matches and candidates.
 
     Starts are running sums of lengths within a document's matches of a kind; only documents with
     a digit or an @ are looked at, as each pattern needs one.
@@ -122,12 +133,12 @@ def matches(docs: DataFrame) -> DataFrame:
         }
     )
     rows = rows.where(candidate | fits(F.col("kind"), F.col("value")))
-    return rows.select("doc_id", "th", "row", "kind", "start", "end", "value", "before").where("end > start")
+    return rows.select("doc_id", "th", "row", "kind", "start", "end", "value", "before", "after").where("end > start")
 
 
 def occurrences(found: DataFrame) -> DataFrame:
-    """Candidates with ``context``, ``known`` (the kind of the base span that they overlap) and
-    ``kinds`` (the shapes they have)."""
+    """Candidates with ``contexts``, ``known`` (the kind of the base span that they overlap, or that of
+    secrets for their seeds) and ``kinds`` (the shapes they have)."""
     base = F.col("kind") != "candidate"
     order = Window.partitionBy("row").orderBy("start", F.when(base, 0).otherwise(1))
     before = F.max(F.when(base, F.struct("end", "kind"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -135,10 +146,17 @@ def occurrences(found: DataFrame) -> DataFrame:
     rows = found.withColumns({"before_base": before, "after_base": after}).where("kind = 'candidate'")
     known = F.when(F.col("before_base.end") > F.col("start"), F.col("before_base.kind")).when(
         F.col("after_base.start") < F.col("end"), F.col("after_base.kind")
-    )
-    context = F.regexp_replace(F.regexp_extract("before", CONTEXT, 1), r"\s+", " ")
+    ).when(F.col("value").rlike(SECRET_SEED), SECRET)
+
+    def named(name: str, words: Column, *more: Column) -> Column:
+        whole = F.concat_ws(" ", F.lit(name), F.regexp_replace(words, r"\s+", " "), *more)
+        return F.when((words != "") & reduce(lambda c, w: c & (w != ""), more, F.lit(True)), whole)
+
+    left, right = F.regexp_extract("before", WORD_BEFORE, 1), F.regexp_extract("after", WORD_AFTER, 1)
+    contexts = [named(name, F.regexp_extract("before", pattern, 1)) for name, pattern in CONTEXTS.items()]
+    contexts = F.array_compact(F.array(*contexts, named("around", left, right)))
     rows = rows.select(
-        "doc_id", "th", "start", "end", F.lower("value").alias("value"), F.nullif(context, F.lit("")).alias("context"),
+        "doc_id", "th", "start", "end", F.lower("value").alias("value"), contexts.alias("contexts"),
         known.alias("known"), shapes(F.col("value")).alias("kinds"),
     )
     return rows.where(F.col("known").isNotNull() | (F.size("kinds") > 0))
@@ -146,7 +164,8 @@ def occurrences(found: DataFrame) -> DataFrame:
 
 def trusted_contexts(seen: DataFrame) -> DataFrame:
     """``context, kind, trust`` of contexts with enough support, after scoring the graph in rounds."""
-    edges = seen.where(F.col("context").isNotNull()).groupBy("context", "value").agg(F.max("known").alias("known"))
+    edges = seen.select(F.explode("contexts").alias("context"), "value", "known")
+    edges = edges.groupBy("context", "value").agg(F.max("known").alias("known"))
     edges = cut(edges, "context-graph")
     sizes = edges.groupBy("context").agg(F.count("*").alias("size"))
     seeds = edges.where("known IS NOT NULL").select("value", F.col("known").alias("kind"), F.lit(1.0).alias("score")).distinct()
@@ -164,9 +183,10 @@ def trusted_contexts(seen: DataFrame) -> DataFrame:
 
 
 def added_spans(seen: DataFrame) -> DataFrame:
-    """Unknown identifiers after trusted contexts: ``doc_id, th, kind, start, end``."""
+    """Identifiers without a base span in trusted contexts: ``doc_id, th, kind, start, end``."""
     contexts = trusted_contexts(seen)
-    rows = seen.where(F.col("known").isNull() & F.col("context").isNotNull()).join(contexts, "context")
+    rows = seen.where(F.col("known").isNull() | (F.col("known") == SECRET))
+    rows = rows.select("doc_id", "th", "start", "end", "kinds", F.explode("contexts").alias("context")).join(contexts, "context")
     rows = rows.where(F.array_contains("kinds", F.col("kind")))
     best = F.max_by("kind", F.struct("trust", "kind")).alias("kind")
     return rows.groupBy("doc_id", "th", "start", "end").agg(best)
@@ -186,9 +206,10 @@ def _of_kind(kind: str):
 
 
 def find_personal(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added`` per document.
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans`` per document.
 
-    The counts and the hash are those of base spans; ``spans`` has the added ones too. Positions
+    The counts by kind and the hash are those of base spans; ``spans`` has the added ones too, of which
+    ``n_added`` and, together, ``n_spans`` tell the number. Positions
     are code points, ends exclusive. Null and empty texts have no span: counts of 0, the hash of
     the empty string, an empty list. Rows that repeat are rows of their own with equal results;
     null ids stay null. An empty table gives no rows; other columns are not looked at.
@@ -212,4 +233,5 @@ def find_personal(docs: DataFrame) -> DataFrame:
     return joined.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), *counts, F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("all")).alias("spans"), (F.size("all") - F.size(base)).cast("bigint").alias("n_added"),
+        F.size("all").cast("bigint").alias("n_spans"),
     )
