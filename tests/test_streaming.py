@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidepost.operators import rolling
 from tidepost.plans import stream_queries
-from tidepost.streaming import live, sinks
+from tidepost.streaming import live, sinks, trending
 
 POSTS = "post_id int, platform string, timestamp timestamp, text string, value double"
 
@@ -131,3 +131,41 @@ def test_rows_without_a_time_come_with_the_first_slice(spark):
     assert set(range(0, 40, 4)) <= set(parts[0]) and all(parts)
     nothing = df.where("timestamp IS NULL")
     assert [part.count() for part in stream_queries._slices(nothing, F.col("timestamp"))] == [10]
+
+
+def test_state_of_repeated_posts_falls_when_time_goes_on(spark, tmp_path):
+    day, sizes = 86400, []
+    for k in range(1, 4):  # each slice brings the posts of the one before along
+        rows = [(1000 * j + i, "a", j * day + i, "x", 0.0) for j in (k - 1, k) if j for i in range(200)]
+        land(posts(spark, rows), tmp_path / "in")
+        query = sinks.append_to(live.deduplicated(stream(spark, tmp_path / "in"), salts=1), str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        sizes.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:]))
+    assert sorted(r["post_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1000 * k + i for k in range(1, 4) for i in range(200)]
+    assert sizes[-1] <= 200
+
+
+@pytest.mark.parametrize("size", [3, 100])
+def test_trending_sketches_bound_every_count(spark, tmp_path, size):
+    names = [f"phrase {chr(97 + k)}word" for k in range(12)]
+    for batch in range(3):
+        rows = [(i, "a", 86400 * (1 + i % 2) + i, names[(i * i + batch) % (4 + 4 * batch)] + ".", 0.0) for i in range(150)]
+        land(posts(spark, rows), tmp_path / "in")
+    sketches = trending.TrendingPhrases(str(tmp_path / "sketches"), size)
+    reader = spark.readStream.schema(POSTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    sketches.run_available(reader)
+    every = spark.read.schema(POSTS).parquet(str(tmp_path / "in"))
+    exact = {(r[0], r[1]): r[2] for r in trending.windowed_phrases(every).groupBy("window_start", "phrase").count().collect()}
+    bounds = sketches.bounds(spark).collect()
+    total = 450 / 2
+    for r in bounds:
+        assert r["low"] <= exact[r["window_start"], r["phrase"]] <= r["high"] and r["unseen"] <= total / (size + 1)
+    held = {(r["window_start"], r["phrase"]) for r in bounds}
+    assert all(n <= bounds[0]["unseen"] or size == 3 for key, n in exact.items() if key not in held)
+    top = trending.leaders(every, trending.candidates(sketches.bounds(spark), 2), 2).collect()
+    for start in {r["window_start"] for r in top}:
+        expected = sorted(((-n, p) for (w, p), n in exact.items() if w == start))[:2]
+        rows = sorted((r for r in top if r["window_start"] == start), key=lambda r: r["rank"])
+        if all(r["certain"] for r in rows):
+            assert [(-r["n"], r["phrase"]) for r in rows] == expected
+    assert size == 3 or all(r["certain"] for r in top)

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from tidepost import rules
 from tidepost.plans import sql as q
 from tidepost.plans.registry import Given, query
-from tidepost.plans.summary_queries import EXCLUDING_SQL, PAIR, ROLLING_SQL
+from tidepost.functions import text as tx
+from tidepost.operators import entities
+from tidepost.plans.summary_queries import EXCLUDING_SQL, PAIR, PHRASE_BREAK, ROLLING_SQL
 from tidepost.plans.text_queries import INGEST_SQL, listings_of
 from tidepost.sources import listing
 from tidepost.sources.workdir import fresh_path
-from tidepost.streaming import live, sinks
+from tidepost.streaming import live, rings, sinks, trending
 
 SLICES = 3
 
@@ -27,16 +29,18 @@ def _slices(df, ts):
         yield part if high is None else part.filter((micros < high) | first)
 
 
-def _arriving(g: Given):
-    """A folder of event files, and steps that let one time slice after the other arrive in it."""
+def _arriving(g: Given, replayed: bool = False, slices=_slices):
+    """A folder of event files, and steps that let one time slice after the other arrive in it; with
+    ``replayed`` each brings the one before along once more."""
     landing = fresh_path(g.spark, "landing")
-    first, *later = _slices(g.events, F.col("ts").cast("timestamp"))
+    first, *later = slices(g.events, F.col("ts").cast("timestamp"))
     first.write.parquet(landing)
 
     def steps():
         yield
-        for part in later:
-            part.write.mode("append").parquet(landing)
+        for before, part in zip([first, *later], later):
+            arriving = part.unionByName(before) if replayed else part
+            arriving.write.mode("append").parquet(landing)
             yield
 
     return landing, steps()
@@ -86,8 +90,13 @@ def stream_hourly(g: Given):
 
 @query("stream_anomalies", f"SELECT * FROM ({ROLLING_SQL}) WHERE is_anomaly")
 def stream_anomalies(g: Given):
-    """Posts arrive in time slices; the stream is stopped after each and goes on from its checkpoint."""
-    return _streamed_bands(g).filter("is_anomaly").drop("timestamp")
+    """Posts arrive in time slices; the stream is stopped after each and goes on from its checkpoint,
+    with the last rows of each series as its state."""
+    landing, steps = _arriving(g)
+    bands = rings.rolling_bands(live.stream_posts(g.spark, landing), "platform", "value")
+    rows = rings.newest_versions(sinks.drain(bands, "bands", steps=steps), "platform", "post_id")
+    shown = {c: F.round(c, 6) for c in ("rolling_mean", "rolling_std", "upper_band", "lower_band")}
+    return rows.filter("is_anomaly").withColumns(shown).drop("timestamp")
 
 
 def _streamed_bands(g: Given, **options):
@@ -139,13 +148,70 @@ def stream_entities(g: Given):
 
 @query("stream_dedup", "SELECT post_id, platform, text FROM posts")
 def stream_dedup(g: Given):
-    """Every post delivered twice, by different sources, kept once."""
-    landing, steps = _arriving(g)
+    """Every post delivered by two sources and, but for the last slice, once more in the next; kept once."""
+    landing, steps = _arriving(g, replayed=True)
     twice = live.stream_posts(g.spark, landing).unionByName(live.stream_posts(g.spark, landing))
     kept = live.deduplicated(twice)
     return sinks.drain(kept.select("post_id", "platform", "text"), "dedup", steps=steps)
 
 
+def _thirds(df, ts):
+    """Slices of equal time span, oldest first; rows without a time come with the first."""
+    micros = F.unix_micros(ts)
+    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    cuts = [low + (high - low) * k // SLICES for k in range(1, SLICES)]
+    for a, b in zip([None, *cuts], [*cuts, None], strict=True):
+        part = df if a is None else df.filter(micros >= a)
+        yield part if b is None else part.filter((micros < b) | (F.lit(a is None) & micros.isNull()))
+
+
+NEWEST_SQL = " UNION ALL ".join(
+    f"""SELECT {k + 1} AS slice, '{e}' AS entity, * FROM (SELECT count(*) AS volume, round(avg(sentiment_score), 6) AS avg_score,
+          count(*) FILTER (WHERE sentiment_label = 'Positive') AS positive FROM
+          (SELECT * FROM compared, (SELECT min(epoch_us("timestamp")) AS a, max(epoch_us("timestamp")) AS b FROM posts)
+           WHERE contains(lower(text), {q.quoted(e.lower())}) AND ({k} = {SLICES - 1} OR epoch_us("timestamp") < a + (b - a) * {k + 1} // {SLICES})
+           QUALIFY row_number() OVER (ORDER BY "timestamp" DESC, post_id) <= {entities.LATEST}))"""
+    for k in range(SLICES)
+    for e in PAIR
+)
+
+
+@query("stream_entities_newest", NEWEST_SQL)
+def stream_entities_newest(g: Given):
+    """The newest fifty posts of either entity, compared at the end of each slice."""
+    landing, steps = _arriving(g, slices=_thirds)
+    tagged = entities.tag_entities(live.stream_posts(g.spark, landing), PAIR)
+    rows = rings.newest_per_entity(tagged, entities.LATEST, ["text"])
+    out = fresh_path(g.spark, "newest")
+    for k, _ in enumerate(steps):
+        sinks.append_to(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+        last = rings.newest_lists(g.spark.read.schema(rows.schema).parquet(f"{out}/rows"), entities.LATEST)
+        compared = entities.entity_compare(live.score_live(last, inclusive=False), PAIR)
+        compared.withColumn("slice", F.lit(k + 1)).write.parquet(f"{out}/compared/{k}")
+    return g.spark.read.parquet(*(f"{out}/compared/{k}" for k in range(SLICES))).select("slice", "entity", "volume", "avg_score", "positive")
+
+
+@query(
+    "stream_trending",
+    f"""SELECT day, rank, phrase, '#' || replace(phrase, ' ', '') AS tag, n FROM
+        (SELECT day, phrase, count(*) AS n, row_number() OVER (PARTITION BY day ORDER BY count(*) DESC, phrase)::INT AS rank FROM
+          (SELECT day, trim(regexp_replace(part, '\\s+', ' ', 'g')) AS phrase FROM
+            (SELECT strftime("timestamp", '%Y-%m-%d') AS day,
+               unnest(string_split_regex(regexp_replace(lower(text), '[^a-z\\s]+', '|', 'g'), {q.quoted(PHRASE_BREAK)})) AS part FROM posts))
+         WHERE len(phrase) >= {tx.MIN_PHRASE_LENGTH} GROUP BY day, phrase) WHERE rank <= 6""",
+)
+def stream_trending(g: Given):
+    """Leading phrases of each day from the sketches of three slices, counted again in the posts."""
+    landing, steps = _arriving(g)
+    posts = live.stream_posts(g.spark, landing)
+    sketches = trending.TrendingPhrases(fresh_path(g.spark, "trending"), size=200)
+    for _ in steps:
+        sketches.run_available(posts)
+    chosen = trending.candidates(sketches.bounds(g.spark), 6)
+    top = trending.leaders(g.posts, chosen, 6)
+    return top.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "rank", "phrase", "tag", "n")
+
+
 @query("stream_listing", INGEST_SQL)
 def stream_listing(g: Given):
     """The listings of ``ingest_listing`` as a stream over several files."""
