@@ -74,3 +74,32 @@ def test_label_index(spark):
 def test_tuning_lists_every_choice(labelled):
     rows = classify.tune(labelled, features=(50, 100), reg_params=(0.01,), max_iters=(2,)).collect()
     assert len(rows) == 2 and rows[0]["f1"] >= rows[1]["f1"]
+
+
+def quality(spark, count=240):
+    """Texts whose label follows some words, but not always."""
+    rows = [(i, ("solid useful work " if i % 3 else "broken empty noise ") + f"item{i % 7} part{i % 5}", "good" if i % 3 or i % 11 == 0 else "poor") for i in range(count)]
+    return spark.createDataFrame(rows, "post_id int, clean_text string, sentiment_label string")
+
+
+def test_halving_finds_the_choice_of_the_full_grid(spark):
+    df = quality(spark)
+    options = {"k": 4, "reg_params": (0.01, 0.1, 1.0, 50.0), "num_features": 64}
+    whole = classify.cross_validate(df, halving=False, **options).collect()
+    halved = classify.cross_validate(df, **options).collect()
+    assert [r["folds"] for r in whole] == [4] * 4 and sorted(r["folds"] for r in halved) == [1, 1, 2, 4]
+    best = {r["reg_param"] for r in whole if r["f1"] == whole[0]["f1"]}
+    assert halved[0]["reg_param"] in best and min(whole, key=lambda r: r["f1"])["reg_param"] == 50.0
+
+
+def test_metrics_are_a_recount_of_predictions_that_can_be_wrong(spark):
+    done = classify.train_and_evaluate(quality(spark), split_key="post_id", num_features=64, max_iter=10)
+    rows = [(r["sentiment_label"], r["predicted_label"]) for r in done.predictions.collect()]
+    assert 0 < sum(a != b for a, b in rows) < len(rows) / 2
+    confusion = {r["Actual"]: r.asDict() for r in done.confusion.collect()}
+    for r in done.class_metrics.collect():
+        x = r["label"]
+        hit = rows.count((x, x))
+        predicted, actual = sum(b == x for _, b in rows), sum(a == x for a, _ in rows)
+        assert r["support"] == actual and confusion[x][f"Pred_{x}"] == hit
+        assert r["precision"] == pytest.approx(hit / max(predicted, 1), abs=1e-4) and r["recall"] == pytest.approx(hit / max(actual, 1), abs=1e-4)

@@ -73,14 +73,22 @@ def random_split(df: DataFrame, test_ratio: float = TEST_RATIO, seed: int = SEED
     return df.randomSplit([1.0 - test_ratio, test_ratio], seed=seed)
 
 
+def _place(key: str) -> Column:
+    return F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("bigint")
+
+
 def id_split(df: DataFrame, test_ratio: float = TEST_RATIO, key: str = "post_id") -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the id: any ratio holds, and the same rows whatever the partitioning."""
     cut = round(SPLIT_PARTS * (1.0 - test_ratio))
-    place = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("bigint")
-    in_train = place % SPLIT_PARTS < cut
+    in_train = _place(key) % SPLIT_PARTS < cut
     return df.filter(in_train), df.filter(~in_train)
 
 
+def fold_of(k: int, key: str = "post_id") -> Column:
+    """Number of the fold of a row, from a hash of its id: the same whatever the partitioning."""
+    return (_place(key) % k).cast("int")
+
+
 def label_index(df: DataFrame, label: str = "sentiment_label") -> DataFrame:
     """Label -> index, most frequent first, ties by name (one row per label)."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
@@ -253,3 +261,49 @@ def tune(
     return df.sparkSession.createDataFrame(
         listed, "num_features int, reg_param double, max_iter int, f1 double"
     ).orderBy(F.desc("f1"), "num_features", "reg_param", "max_iter")
+
+
+def fitted_idf(df: DataFrame, tokens: str, vocabulary: int = 1 << 18, min_docs: int = MIN_DOC_FREQ) -> DataFrame:
+    """``word, idf`` as the fitted stages have them; at most ``vocabulary`` words."""
+    counts = CountVectorizer(inputCol=tokens, outputCol="_counts", vocabSize=vocabulary, minDF=1.0)
+    model = Pipeline(stages=[counts, IDF(inputCol="_counts", outputCol="_idf", minDocFreq=min_docs)]).fit(df)
+    words, weights = model.stages[0].vocabulary, model.stages[1].idf.toArray().tolist()
+    return df.sparkSession.createDataFrame(list(zip(words, weights, strict=True)), "word string, idf double")
+
+
+def fitted_labels(df: DataFrame, label: str = "sentiment_label") -> DataFrame:
+    """``label, index`` as the fitted label stage has them."""
+    found = label_stage(label).fit(df).labels
+    return df.sparkSession.createDataFrame([(x, i) for i, x in enumerate(found)], f"`{label}` string, `index` int")
+
+
+def cross_validate(
+    df: DataFrame, k: int = 4, reg_params=(0.001, 0.01, 0.1, 1.0), max_iters=(20,), num_features: int = 1000,
+    key: str = "post_id", label: str = "sentiment_label", halving: bool = True,
+) -> DataFrame:
+    """Parameter choices by their mean weighted F over folds: ``reg_param, max_iter, folds, f1``, best first.
+
+    Vectors are made once and kept. Each fold is held out in turn; with ``halving`` the worse half of
+    the choices (by their mean so far, ties to the earlier one) goes after every fold, so that a choice
+    is judged on as many folds as it deserves. The best choice is the first row.
+    """
+    rows = train_rows(df, label=label).select("clean_text", label, fold_of(k, key).alias("fold"))
+    stages = Pipeline(stages=[*text_stages(num_features), label_stage(label)])
+    vectors = stages.fit(rows).transform(rows).select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    judge = MulticlassClassificationEvaluator(metricName="f1")
+    scores: dict[tuple[float, int], list[float]] = {(r, m): [] for r in reg_params for m in max_iters}
+    alive = list(scores)
+    try:
+        for fold in range(k):
+            train, held_out = vectors.where(F.col("fold") != fold), vectors.where(F.col("fold") == fold)
+            for choice in alive:
+                model = logistic(reg_param=choice[0], max_iter=choice[1]).fit(train)
+                scores[choice].append(judge.evaluate(model.transform(held_out)))
+            if halving and len(alive) > 1:
+                by_mean = sorted(alive, key=lambda c: -sum(scores[c]) / len(scores[c]))
+                alive = by_mean[: -(-len(alive) // 2)]
+    finally:
+        vectors.unpersist()
+    listed = [(float(r), int(m), len(s), round(sum(s) / len(s), 4)) for (r, m), s in scores.items() if s]
+    listed.sort(key=lambda row: (-row[2], -row[3]))
+    return df.sparkSession.createDataFrame(listed, "reg_param double, max_iter int, folds int, f1 double")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidepost import rules
+from tidepost.functions.text import letter_words
 from tidepost.operators import classify, evaluation, words
 from tidepost.plans.registry import Given, query
 
@@ -55,6 +57,52 @@ def label_index(g: Given):
     return classify.label_index(g.scored)
 
 
+@query(
+    "idf_fitted",
+    """SELECT word, CASE WHEN count(*) >= 3 THEN round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 6) ELSE 0.0 END AS idf
+       FROM doc_sets GROUP BY word""",
+)
+def idf_fitted(g: Given):
+    """Weights that the fitted stage gives the words of all documents."""
+    found = F.coalesce(letter_words(F.col("text")), F.array().cast("array<string>"))
+    stops = F.array(*(F.lit(w) for w in rules.STOP_WORDS))
+    tokens = g.documents.select(F.filter(found, lambda w: ~F.array_contains(stops, w)).alias("tokens"))
+    return classify.fitted_idf(tokens, "tokens").withColumn("idf", F.round("idf", 6))
+
+
+@query(
+    "label_index_fitted",
+    """SELECT sentiment_label, (row_number() OVER (ORDER BY count(*) DESC, sentiment_label) - 1)::INT AS "index"
+       FROM scored GROUP BY sentiment_label""",
+)
+def label_index_fitted(g: Given):
+    return classify.fitted_labels(g.scored)
+
+
+FOLDS = 4
+
+
+@query(
+    "fold_counts",
+    f"""SELECT (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % {FOLDS})::INT AS fold, quality, count(*) AS n
+        FROM docs JOIN labels USING (doc_id) WHERE trim(clean_text) <> '' GROUP BY ALL""",
+)
+def fold_counts(g: Given):
+    rows = classify.train_rows(_quality(g), label="quality_label")
+    return rows.groupBy(classify.fold_of(FOLDS, "doc_id").alias("fold"), "quality").agg(F.count("*").alias("n"))
+
+
+@query("cross_validation")
+def cross_validation(g: Given):
+    """Quality of documents: the regularisation by hashed folds, the worse half dropped after each."""
+    return classify.cross_validate(_quality(g), FOLDS, key="doc_id", label="quality_label")
+
+
+def _quality(g: Given):
+    named = F.when(F.col("quality") == 1, "good").otherwise("poor")
+    return g.docs.join(g.table("labels"), "doc_id").withColumn("quality_label", named)
+
+
 def _split(g: Given):
     return classify.id_split(classify.train_rows(g.prepared))
 
@@ -103,10 +151,7 @@ def train_eval(g: Given):
 @query("train_eval_documents")
 def train_eval_documents(g: Given):
     """A real label: document quality. Both tables have one row per document."""
-    labelled = g.docs.join(g.table("labels"), "doc_id").withColumn(
-        "quality_label", F.when(F.col("quality") == 1, "good").otherwise("poor")
-    )
-    return classify.train_and_evaluate(labelled, label="quality_label", split_key="doc_id").confusion
+    return classify.train_and_evaluate(_quality(g), label="quality_label", split_key="doc_id").confusion
 
 
 @query(

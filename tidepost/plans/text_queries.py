@@ -97,10 +97,10 @@ def search_posts(g: Given):
     return found.select("post_id", "text", second())
 
 
-@query(
-    "export_csv",
-    f"SELECT {SECOND_SQL}, platform, topic, text, sentiment_label, sentiment_score, likes, shares FROM prepared",
-)
+EXPORT_SQL = f"SELECT {SECOND_SQL}, platform, topic, text, sentiment_label, sentiment_score, likes, shares FROM prepared"
+
+
+@query("export_csv", EXPORT_SQL)
 def export_csv(g: Given):
     """Written as CSV and read back."""
     path = workdir.fresh_path(g.spark, "export")
