@@ -78,7 +78,7 @@ def test_tuning_lists_every_choice(labelled):
 
 def quality(spark, count=240):
     """Texts whose label follows some words, but not always."""
-    rows = [(i, ("solid useful work " if i % 3 else "broken empty noise ") + f"item{i % 7} part{i % 5}", "good" if i % 3 or i % 11 == 0 else "poor") for i in range(count)]
+    rows = [(i, ("solid useful work " if i % 3 else "broken empty noise ") + f"item{i % 7} part{i % 5}", "good" if i % 3 or i % 9 == 0 else "poor") for i in range(count)]
     return spark.createDataFrame(rows, "post_id int, clean_text string, sentiment_label string")
 
 
