@@ -110,7 +110,7 @@ def later_spans(found: DataFrame) -> DataFrame:
     repeated = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     repeated = cut(repeated, "repeated-spans")  # Spark splits a hot key only between plain exchanges
     later = found.join(repeated.hint("merge"), ["h1", "h2"]).where(F.struct("id", "th", "at") != F.col("first"))
-    return later.groupBy("id", "th").agg(F.collect_list(F.struct("at", "many")).alias("spans"))
+    return later.groupBy("id", "th").agg(F.collect_set(F.struct("at", "many")).alias("spans"))
 
 
 def dedup_sentences(docs: DataFrame, clauses: bool = False) -> DataFrame:
