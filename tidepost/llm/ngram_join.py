@@ -41,7 +41,7 @@ COUNT_BYTES = 8 << 20
 #: Shingles that a task holds before it gives them on, and sets that it remembers (they save work only).
 FLUSH, SEEN = 500_000, 100_000
 #: Rows of a frequent column, and their shingles, that a task compares with as many others.
-CHUNK_ROWS, CHUNK_SHINGLES = 1024, 1_000_000
+CHUNK_ROWS, CHUNK_SHINGLES = 4096, 1_000_000
 PAIR_COLUMNS, PLACE_COLUMNS = ("a", "b", "n_a", "n_b", "rest", "overlap"), ("tok", "sid", "n")
 MATRIX_COLUMNS = ["doc_id", "th", "n", "sid", "sketch", "block", "cells"]
 
@@ -431,7 +431,8 @@ def size_band(n):
 def meetings(often: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Which rows of frequent columns have to meet: ``tok, band, i, j, sid, n, label``, twice.
 
-    A column is dealt by bands of size, rows of a band together with those of the next. There rows
+    A column is dealt by bands of size, rows of a band together with those of the next; a band that has
+    no row of its own is left to the next. There rows
     outside the largest component (the second table) meet all rows (the first one), in chunks
     ``i`` of all and ``j`` of the others; what is within one component is left out.
     """
@@ -439,12 +440,13 @@ def meetings(often: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]
     rows = often.join(marks, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     band = size_band(F.col("n"))
     rows = rows.select("tok", "sid", "n", "label", F.explode(F.array(band - 1, band)).alias("band"))
-    parts = rows.groupBy("tok", "band", "label").agg(F.count("*").alias("m"), F.max("n").alias("longest"))
+    own = F.max(size_band(F.col("n")) == F.col("band")).alias("own")
+    parts = rows.groupBy("tok", "band", "label").agg(F.count("*").alias("m"), F.max("n").alias("longest"), own)
     main = parts.groupBy("tok", "band").agg(
         F.count("*").alias("k"), F.sum("m").alias("all"), F.max("m").alias("most"), F.max("longest").alias("longest"),
-        F.max_by("label", F.struct("m", "label")).alias("main"),
+        F.max_by("label", F.struct("m", "label")).alias("main"), F.max("own").alias("own"),
     )
-    main = cut(main.where("k > 1"), "main-components")
+    main = cut(main.where("k > 1 AND own").drop("own"), "main-components")
     rows = cut(rows.join(main.hint("merge"), ["tok", "band"]), "meeting-rows")
     size = F.greatest(F.lit(1), F.least(F.lit(CHUNK_ROWS), F.floor(F.lit(CHUNK_SHINGLES) / F.col("longest"))))
     chunks = F.ceil(F.col("all") / size).cast("int")
