@@ -2,33 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepost.sources.workdir import fresh_path
+
 #: Bytes of text that a task expands into numpy arrays at once; it bounds memory, not results.
 SLICE_BYTES = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local session without it gets a temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidepost-llm-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lost executor costs no earlier stage."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -48,12 +37,6 @@ def map_rows(
     return df.mapInArrow(work, schema)
 
 
-def record_batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(values, kind) for values, kind in columns.values()], list(columns)
-    )
-
-
 def in_slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``limit`` bytes; a longer text is a range of its own."""
     start, held = 0, 0
@@ -69,11 +52,3 @@ def in_slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[in
 def text_hash() -> Column:
     """Tells rows that share a ``doc_id`` apart by their text."""
     return F.xxhash64(text_of())
-
-
-def same_row(left: DataFrame, right: DataFrame, names: tuple[str, ...]) -> Column:
-    """Null-safe equality of the named columns."""
-    condition = left[names[0]].eqNullSafe(right[names[0]])
-    for name in names[1:]:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
