@@ -8,7 +8,7 @@ from tidepost.operators import rollups
 from tidepost.plans.registry import Given, query
 from tidepost.plans.summary_queries import LABEL_COUNTS
 from tidepost.plans.text_queries import EXPORT_SQL
-from tidepost.sources import files, workdir
+from tidepost.sources import files, text_index, workdir
 
 SLICES = 3
 KPI_SQL = f"""SELECT *, 100 * positive // greatest(total, 1) AS positive_pct, 100 * negative // greatest(total, 1) AS negative_pct,
@@ -47,6 +47,24 @@ def rollup_profile(g: Given):
     return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("first_post", "last_post")})
 
 
+#: Words that several, few or no documents have, and an expression whose literal parts are not looked for.
+PATTERNS = ("license", "tok.n = ", "no such words at all", "mail[0-9]+")
+
+
+@query(
+    "search_indexed",
+    " UNION ALL ".join(f"SELECT '{p}' AS pattern, doc_id, source FROM documents WHERE regexp_matches(text, '(?i){p}')" for p in PATTERNS),
+)
+def search_indexed(g: Given):
+    path = workdir.fresh_path(g.spark, "indexed")
+    text_index.write_indexed(g.documents.repartitionByRange("source", "doc_id"), path)
+    out = None
+    for pattern in PATTERNS:
+        found = text_index.search(g.spark, path, pattern).select(F.lit(pattern).alias("pattern"), "doc_id", "source")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 @query("export_parquet", EXPORT_SQL)
 def export_parquet(g: Given):
     """Written as Parquet by day and read back."""

@@ -48,7 +48,8 @@ def trigrams(text: Column) -> Column:
         places = F.when(F.size(signs) >= LEAST, F.sequence(F.lit(0), F.size(signs) - LEAST))
         return F.array_distinct(F.transform(places, lambda i: F.pmod(F.xxhash64(*(F.get(signs, i + k) for k in range(LEAST))), F.lit(BITS))))
 
-    return bind(F.split(F.lower(F.coalesce(text, F.lit(""))), ""), lambda s: of_signs(F.filter(s, lambda c: c != "")))
+    # The list of signs is bound whole: inlined, it would be made again for every place.
+    return bind(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), ""), lambda c: c != ""), of_signs)
 
 
 def write_indexed(df: DataFrame, path: str, text: str = "text") -> None:
