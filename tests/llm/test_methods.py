@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidepost.llm import contamination, graph_search, hashing, ngram_join, packing, personal, sentences, suffixes
 from tidepost.llm.components import components
@@ -230,3 +231,41 @@ def test_passages_glued_on_both_sides(spark):
     for k in range(40):
         assert rows[k]["text"] == texts[k] and rows[k + 1000]["n_removed"] >= 2
         assert len(rows[k + 1000]["text"].split()) <= len(texts[k + 1000].split()) - 20
+
+
+def test_queries_stream_past_a_graph_read_once(spark):
+    """Graphs and queries span several batches of a task; as many queries as nodes."""
+    rng = np.random.default_rng(4)
+    points = {2: rng.normal(size=(300, 2)), 8: rng.normal(size=(900, 8))}
+    rows = [(dim * 10_000 + i, dim, p.tolist()) for dim, found in points.items() for i, p in enumerate(found)]
+    nodes = spark.createDataFrame(rows, "rep bigint, dim int, embedding array<double>")
+    index = graph_search.build_index(nodes, 250)
+    assert index.select("dim", "shard").distinct().count() > 5
+    asked = nodes.withColumnRenamed("rep", "query_id")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        plan = graph_search.search(index, asked, 3)._jdf.queryExecution().executedPlan().toString()
+        found = graph_search.search(index, asked, 3).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "Generate" not in plan and "MapInArrow" in plan
+    held, hits = {}, 0
+    for r in found:
+        held.setdefault(r["query_id"], []).append((r["score"], r["rep"]))
+    assert len(held) == 1200
+    for dim, vectors_of in points.items():
+        for i, p in enumerate(vectors_of):
+            away = np.sqrt(((vectors_of - p) ** 2).sum(1))
+            mine = sorted(held[dim * 10_000 + i])
+            assert mine[0] == (0.0, dim * 10_000 + i) and all(s == pytest.approx(away[v % 10_000], abs=1e-12) for s, v in mine)
+            hits += len({v % 10_000 for _, v in mine[:3]} & set(np.argsort(away)[:3].tolist()))
+    assert hits >= 0.95 * 3 * 1200
+
+
+def test_vectors_with_clashing_columns(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(101)]
+    plain = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    names = ("rep", "dim", "shard", "node", "start", "near", "score", "rank", "query_id", "id", "place", "d")
+    wide = plain.withColumns({c: F.lit("own") for c in names})
+    assert sorted(graph_search.nearest(wide).collect()) == sorted(graph_search.nearest(plain).collect())

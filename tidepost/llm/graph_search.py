@@ -3,11 +3,13 @@
 Equal vectors are one node. Nodes are dealt to shards of bounded size by hash; each shard's graph
 is built by greedy search for candidates and pruning that drops a candidate when a kept neighbour
 is clearly nearer to it, and is written as a table of neighbours. Queries walk each shard's graph
-with a beam, in blocks, and the shards' best are merged.
+with a beam: they stream past a graph that is read once. The shards' best are merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -16,7 +18,6 @@ from pyspark.sql import functions as F
 from tidepost.llm.common import cut
 
 SHARD_NODES = 4000
-QUERY_BLOCK = 4096
 DEGREE = 28
 BUILD_BEAM = 56
 SEARCH_BEAM = 72
@@ -149,45 +150,74 @@ def build_index(nodes: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFrame:
     return dealt.groupBy("dim", "shard").applyInArrow(work, schema)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """The ``k`` nearest nodes of each shard for each query: ``query_id, rep, score``."""
-    blocks = max(1, -(-queries.count() // query_block))
-    shards = index.select(F.col("dim").alias("d"), F.col("shard").alias("s")).distinct()
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "embedding"), F.lit(blocks)).cast("int"))
-    asked = asked.join(shards, F.col("dim") == F.col("d")).select(
-        "query_id", "embedding", "block", F.col("d").alias("dim"), F.col("s").alias("shard")
-    )
-    graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def work(graph: pa.Table, asked: pa.Table) -> pa.Table:
-        out = {"query_id": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
-        if graph.num_rows and asked.num_rows:
-            graph = graph.combine_chunks().sort_by("node")
-            dim, width = graph.column("dim")[0].as_py(), min(SEARCH_BEAM, max(2 * k, SEARCH_BEAM))
-            vectors = np.asarray(graph.column("embedding").combine_chunks().flatten()).reshape(-1, dim)
-            near = np.asarray(graph.column("near").combine_chunks().flatten()).reshape(-1, DEGREE).astype(np.int64)
-            wanted = np.asarray(asked.column("embedding").combine_chunks().flatten()).reshape(-1, dim)
-            reps, ids = np.asarray(graph.column("rep")), np.asarray(asked.column("query_id"))
-            start, small = graph.column("start")[0].as_py(), vectors.astype(np.float32)
-            rows, nodes = [], []
-            for at in range(0, len(wanted), BATCH):
-                found, _ = beam_search(small, near, start, wanted[at : at + BATCH].astype(np.float32), width)
-                row, place = np.nonzero(found >= 0)
-                rows.append(row + at)
-                nodes.append(found[row, place])
-            row, node = np.concatenate(rows), np.concatenate(nodes)
-            score = np.sqrt(((wanted[row] - vectors[node]) ** 2).sum(1))
-            order = np.lexsort((reps[node], score, row))
-            row, node, score = row[order], node[order], score[order]
-            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-            out = {"query_id": pa.array(ids[row][keep]), "rep": pa.array(reps[node][keep]), "score": pa.array(score[keep])}
-        return pa.table(out)
-
-    return (
-        graphs.groupBy("dim", "shard", "block")
-        .cogroup(asked.groupBy("dim", "shard", "block"))
-        .applyInArrow(work, "query_id bigint, rep bigint, score double")
+class Graph:
+    """One shard in memory: its vectors, neighbours and start node."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        self.dim, self.start = rows.column("dim")[0].as_py(), rows.column("start")[0].as_py()
+        self.vectors = vector_rows(rows, self.dim)
+        self.small = self.vectors.astype(np.float32)
+        self.near = np.asarray(rows.column("near").combine_chunks().flatten()).reshape(-1, DEGREE).astype(np.int64)
+        self.reps = np.asarray(rows.column("id"))
+
+    def nearest(self, ids: np.ndarray, wanted: np.ndarray, k: int) -> pa.RecordBatch:
+        """The ``k`` nearest nodes found for each query, by exact distances, ties to the smaller id."""
+        found, _ = beam_search(self.small, self.near, self.start, wanted.astype(np.float32), max(SEARCH_BEAM, 2 * k))
+        row, place = np.nonzero(found >= 0)
+        node = found[row, place]
+        score = np.sqrt(((wanted[row] - self.vectors[node]) ** 2).sum(1))
+        order = np.lexsort((self.reps[node], score, row))
+        row, node, score = row[order], node[order], score[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        columns = [pa.array(ids[row][keep]), pa.array(self.reps[node][keep]), pa.array(score[keep])]
+        return pa.RecordBatch.from_arrays(columns, ["query_id", "rep", "score"])
+
+
+def vector_rows(rows: pa.Table, dim: int) -> np.ndarray:
+    return np.asarray(rows.column("embedding").combine_chunks().flatten()).reshape(-1, dim)
+
+
+def stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int, bool], pa.Table]]:
+    """Neighbouring rows of one kind and shard: (dim, shard, asked) and the rows."""
+    keys = [np.asarray(batch.column(c)) for c in ("dim", "shard")] + [np.asarray(batch.column("node")) < 0]
+    new = np.ones(batch.num_rows, bool)
+    new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
+    starts = np.flatnonzero(new).tolist()
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield (int(keys[0][a]), int(keys[1][a]), bool(keys[2][a])), pa.Table.from_batches([batch.slice(a, b - a)])
+
+
+def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest nodes of each shard for each query: ``query_id, rep, score``.
+
+    A task reads a shard's graph once and then lets its queries pass by in batches, so it holds one
+    graph and one batch, however many queries there are.
+    """
+    shards = index.select(F.col("dim").alias("d"), "shard").distinct()
+    asked = queries.join(shards, F.col("dim") == F.col("d")).select(
+        "dim", "shard", F.lit(-1).alias("node"), F.col("query_id").alias("id"), F.lit(0).alias("start"), "embedding", F.lit(None).cast("array<int>").alias("near")
     )
+    graphs = index.select("dim", "shard", "node", F.col("rep").alias("id"), "start", "embedding", "near")
+    # The nodes of a shard in their order, then its queries.
+    ordered = graphs.unionByName(asked).repartition("dim", "shard").sortWithinPartitions("dim", "shard", F.col("node") < 0, "node")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, graph = None, [], None
+        for batch in batches:
+            for (dim, shard, is_asked), rows in stretches(batch):
+                if at != (dim, shard):
+                    at, held, graph = (dim, shard), [], None
+                if not is_asked:
+                    held.append(rows)
+                    continue
+                if graph is None:
+                    graph, held = Graph(pa.concat_tables(held)), []
+                ids, wanted = np.asarray(rows.column("id")), vector_rows(rows, dim)
+                for a in range(0, len(ids), BATCH):
+                    yield graph.nearest(ids[a : a + BATCH], wanted[a : a + BATCH], k)
+
+    return ordered.mapInArrow(work, "query_id bigint, rep bigint, score double")
 
 
 def nearest(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
