@@ -145,3 +145,62 @@ def personal_base(text):
     listed = ",".join(f"{KINDS[rank]}:{a}:{b}" for a, rank, b in sorted(spans))
     counts = Counter(KINDS[rank] for _, rank, _ in spans)
     return [counts[k] for k in KINDS], listed.split(",") if listed else [], hashlib.sha256(listed.encode()).hexdigest()
+
+
+def language_model(rows, slots=1 << 14):
+    """Log shares of hashed n-grams per language, from (text, lang)."""
+    counts = defaultdict(Counter)
+    for text, lang in rows:
+        for n, found in enumerate(language_grams(text, slots)):
+            counts[lang].update((n, g) for g in found)
+    out = {}
+    for lang, held in counts.items():
+        total = [sum(v for (m, _), v in held.items() if m == n) + 0.5 * slots for n in range(3)]
+        out[lang] = {(n, g): np.log((held[n, g] + 0.5) / total[n]) / 3 for n in range(3) for g in range(slots)}
+    return out
+
+
+def language_grams(text, slots):
+    """For each n the slot of the n-gram that ends at each character, counted modulo 2**32."""
+    codes = [ord(c) for c in " ".join(["", *text.lower().split(), ""])]
+    held, out = [0] * len(codes), []
+    for n, factor in enumerate((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)):
+        held = [(h + (codes[k - n] if k >= n else 0) * factor) % 2**32 for k, h in enumerate(held)]
+        out.append([((h ^ h >> 15) * 0x2C1B3C6D % 2**32) * slots >> 32 for h in held])
+    return out
+
+
+def language_of(text, model, slots=1 << 14):
+    """The likeliest language of the best set of languages, sets grown one at a time, and its share."""
+    if not any(c.isalpha() for c in text or "") or not model:
+        return "und", 0.0
+    names, grams = sorted(model), language_grams(text, slots)
+    segments = [
+        [sum(model[lang][n, grams[n][k]] for n in range(3) for k in range(a, min(a + 48, len(grams[0])))) for lang in names]
+        for a in range(0, len(grams[0]), 48)
+    ]
+
+    def fitted(chosen):
+        weight = {c: 1 / len(chosen) for c in chosen}
+        tops = [max(s[c] for c in chosen) for s in segments]
+        for _ in range(25 if len(chosen) > 1 else 0):
+            sums = dict.fromkeys(chosen, 0.0)
+            for s, top in zip(segments, tops, strict=True):
+                parts = {c: weight[c] * np.exp(s[c] - top) for c in chosen}
+                for c in chosen:
+                    sums[c] += parts[c] / sum(parts.values())
+            weight = {c: sums[c] / len(segments) for c in chosen}
+        return weight, sum(np.log(sum(weight[c] * np.exp(s[c] - t) for c in chosen)) + t for s, t in zip(segments, tops, strict=True))
+
+    everything = range(len(names))
+    chosen = [max(everything, key=lambda c: (sum(s[c] for s in segments), -c))]
+    (weight, best), penalty = fitted(chosen), 0.5 * np.log(len(segments) + 1) + 3
+    while rest := [c for c in everything if c not in chosen]:
+        gains = {c: sum(max(0, s[c] - max(s[k] for k in chosen)) for s in segments) for c in rest}
+        grown = [*chosen, max(rest, key=lambda c: (gains[c], -c))]
+        tried, value = fitted(grown)
+        if gains[grown[-1]] <= penalty or value - best <= penalty:
+            break
+        chosen, weight, best = grown, tried, value
+    first = max(weight, key=lambda c: (weight[c], -c))
+    return names[first], weight[first]
