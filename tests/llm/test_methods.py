@@ -105,6 +105,25 @@ def test_rows_of_a_frequent_column_with_one_short_row(spark):
     assert {a for a, _ in near} | {b for _, b in near} >= {0, 1} and len(near) <= 102
 
 
+def test_components_that_meet_give_fewer_pairs_than_rows(spark):
+    """Rows of a frequent column that are all near each other and not joined yet, two groups of them."""
+    rng = np.random.default_rng(11)
+    base = [np.unique(rng.integers(0, 1 << 63, 40).astype(np.uint64)) for _ in range(2)]
+    sets = {k: np.unique(np.append(base[k % 2][:-1], np.uint64(k))) for k in range(120)}
+    often = spark.createDataFrame([(5, k, len(x)) for k, x in sets.items()], "tok bigint, sid bigint, n bigint")
+    sketches = spark.createDataFrame([(k, bytearray(ngram_join.sketch(x))) for k, x in sets.items()], "sid bigint, sketch binary")
+    shingles = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in sets.items()], "sid bigint, shingles binary")
+    every, minor = ngram_join.meetings(often, spark.createDataFrame([], "node bigint, label bigint"))
+    for found in (
+        ngram_join.nearest_across(every, minor, sketches, spanning=True),
+        ngram_join.links_across(every, minor, sketches, shingles, spanning=True),
+    ):
+        pairs = [tuple(r) for r in found.collect()]
+        assert len(pairs) <= 2 * len(sets) and all(ngram_join.linked(sets[a], sets[b]) for a, b in pairs)
+        label = {r["node"]: r["label"] for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+        assert [label.get(k, k) for k in sets] == [k % 2 for k in sets]
+
+
 def test_overlap_bound_keeps_links():
     rng = np.random.default_rng(3)
     for _ in range(300):

@@ -9,7 +9,7 @@ distance never exceeds that of the sets, reject most of the others, and whole se
 
 Only components of the links are asked for. Columns that many rows share are not multiplied out:
 their rows are tested against one row, and after that only across components, in chunks of rows of
-neighbouring sizes, and each row gives at most one link to each other component it meets.
+neighbouring sizes, and two chunks give fewer links than they have components.
 """
 
 from __future__ import annotations
@@ -487,13 +487,67 @@ def one_per_component(row: np.ndarray, label: np.ndarray, rank: np.ndarray) -> n
     return order[fresh]
 
 
-def nearest_across(every: DataFrame, minor: DataFrame, sketches: DataFrame) -> DataFrame:
+class Joined:
+    """Components of two chunks that links found in the task have joined."""
+
+    def __init__(self, *labels: np.ndarray) -> None:
+        self.labels = np.unique(np.concatenate(labels))
+        self.parent = list(range(len(self.labels)))
+
+    def places(self, labels: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.labels, labels)
+
+    def root(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = x = self.parent[self.parent[x]]
+        return x
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.root(x) for x in range(len(self.parent))], np.int64)
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether they were apart."""
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def nearest_forest(left: pa.Table, right: pa.Table) -> np.ndarray:
+    """Pairs of ids that join all components of two chunks that sketches let join, by the nearest
+    rows: fewer pairs than components."""
+    sid, label, n = (np.asarray(left.column(c)) for c in ("sid", "label", "n"))
+    own_sid, own_label, own_n = (np.asarray(right.column(c)) for c in ("sid", "label", "n"))
+    whole = Joined(label, own_label)
+    place_of, own_place = whole.places(label), whole.places(own_label)
+
+    def forest(edges: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        joined = Joined(whole.labels)
+        order = np.argsort(far, kind="stable")
+        kept = [k for k in order.tolist() if joined.join(int(edges[k, 0]), int(edges[k, 1]))]
+        return edges[kept], far[kept]
+
+    edges, far = [np.zeros((0, 4), np.int64)], [np.zeros(0)]
+    for row, place, apart in near_places(left, right):
+        x, y = place_of[place], own_place[row]
+        share = apart / (n[place] + own_n[row])
+        first = one_per_component(np.minimum(x, y), np.maximum(x, y), share)
+        edges.append(np.stack([x, y, sid[place], own_sid[row]], axis=1)[first])
+        far.append(share[first])
+        if sum(map(len, far)) > FLUSH:
+            edges, far = ([part] for part in forest(np.concatenate(edges), np.concatenate(far)))
+    return forest(np.concatenate(edges), np.concatenate(far))[0][:, 2:]
+
+
+def nearest_across(every: DataFrame, minor: DataFrame, sketches: DataFrame, spanning: bool = False) -> DataFrame:
     """Pairs ``a, b``: each row with its nearest row of each component that it meets, where sketches
-    allow a link at all."""
+    allow a link at all. With ``spanning`` only pairs that join components which no nearer pairs of
+    the two chunks join, so that they stay fewer than the rows however many components meet."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         pairs = [np.zeros((0, 2), np.int64)]
         if left.num_rows and right.num_rows:
+            if spanning:
+                return pair_table(nearest_forest(left, right))
             sid, label, own_sid = np.asarray(left.column("sid")), np.asarray(left.column("label")), np.asarray(right.column("sid"))
             for row, place, apart in near_places(left, right):
                 first = one_per_component(row, label[place], apart)
@@ -503,9 +557,10 @@ def nearest_across(every: DataFrame, minor: DataFrame, sketches: DataFrame) -> D
     return met(every, minor, sketches, work).distinct()
 
 
-def links_across(every: DataFrame, minor: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+def links_across(every: DataFrame, minor: DataFrame, sketches: DataFrame, sets: DataFrame, spanning: bool = False) -> DataFrame:
     """Links ``a, b``, decided in the task by whole sets: for each row one link to each component
-    that it meets, if there is any."""
+    that it meets, if there is any. With ``spanning`` no links between components that others of
+    the two chunks have joined: the same components, and fewer links than rows."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         links = []
@@ -513,6 +568,19 @@ def links_across(every: DataFrame, minor: DataFrame, sketches: DataFrame, sets:
             sid, label, own_sid = np.asarray(left.column("sid")), np.asarray(left.column("label")), np.asarray(right.column("sid"))
             sets = [[np.frombuffer(s.as_buffer(), np.uint64) for s in t.column("shingles")] for t in (left, right)]
             done = set()
+            if spanning:
+                joined = Joined(label, np.asarray(right.column("label")))
+                place_of, own_place = joined.places(label), joined.places(np.asarray(right.column("label")))
+                for row, place, apart in near_places(left, right):
+                    roots = joined.roots()
+                    open_ = np.flatnonzero(roots[place_of[place]] != roots[own_place[row]])
+                    for k in open_[np.argsort(apart[open_], kind="stable")].tolist():
+                        y, x = int(row[k]), int(place[k])
+                        ends = int(place_of[x]), int(own_place[y])
+                        if joined.root(ends[0]) != joined.root(ends[1]) and linked(sets[0][x], sets[1][y]):
+                            joined.join(*ends)
+                            links.append((own_sid[y], sid[x]))
+                return pair_table(np.array(links, np.int64).reshape(-1, 2))
             for row, place, apart in near_places(left, right):
                 for k in np.lexsort((apart, label[place], row)).tolist():
                     y, x = int(row[k]), int(place[k])
@@ -598,7 +666,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         more = cut(nodes.join(more.hint("merge"), "sid", "left_semi").select("sid", "doc_id"), "more-rows")
         return sets if more.isEmpty() else sets.unionByName(cut(whole_sets(docs, more), "whole-sets"))
 
-    near = cut(nearest_across(*meetings(often, labels), sketches), "nearest-across")
+    near = cut(nearest_across(*meetings(often, labels), sketches, spanning=True), "nearest-across")
     if not near.isEmpty():
         sets = with_sets(near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))))
         found = found.unionByName(cut(links(near, sets), "links"))
@@ -609,7 +677,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             sets = with_sets(rest.select("sid"))
             keys = ["tok", "band", "i", "j", "sid"]
             every, minor = (side.join(rest.hint("merge"), keys, "left_semi") for side in (every, minor))
-            found = found.unionByName(cut(links_across(every, minor, sketches, sets), "links"))
+            found = found.unionByName(cut(links_across(every, minor, sketches, sets, spanning=True), "links"))
             labels = cut(components(found), "labels")
     node = nodes.select("sid", "doc_id").join(labels.select(F.col("node").alias("sid"), "label"), "sid", "left")
     node = node.withColumn("label", F.coalesce("label", "sid"))
