@@ -66,3 +66,16 @@ def test_search_reads_fewer_files_and_finds_the_same(spark, tmp_path):
     assert every == 8 and len(text_index.files_to_read(spark, str(tmp_path), "needle")) == 1
     assert text_index.files_to_read(spark, str(tmp_path), "no such thing") == [] and text_index.files_to_read(spark, str(tmp_path), "a|b") is None
     assert len(text_index.files_to_read(spark, str(tmp_path), "ghij")) < every
+
+
+def test_index_rows_are_bitmaps_however_many_texts(spark):
+    texts = ["Needle in", "É", None, "straße 😀 end"] * 500 + ["x" * (text_index.PART_SIGNS - 1) + "yzw"]
+    df = spark.createDataFrame([(f"f{i % 2}", t) for i, t in enumerate(texts)], "file string, text string").repartition(3, "file").sortWithinPartitions("file")
+    rows = df.select("file", F.lower(F.coalesce("text", F.lit(""))).alias("text")).mapInArrow(text_index.bitmaps, "file string, bucket bigint, bitmap binary")
+    found = rows.collect()
+    assert len(found) <= 2 * text_index.BITS // text_index.BUCKET and all(len(r["bitmap"]) == text_index.BUCKET // 8 for r in found)
+    wanted = {"f0": ["needle in", "xyz"], "f1": ["straße 😀 end"] if len(texts) % 2 == 0 else []}
+    for file, own in wanted.items():
+        for b in {int(b) for t in own for b in text_index.trigrams(t)}:
+            held = next(r["bitmap"] for r in found if r["file"] == file and r["bucket"] == b // text_index.BUCKET)
+            assert held[b % text_index.BUCKET // 8] >> b % 8 & 1

@@ -8,15 +8,18 @@ bitmap or an expression without literal parts costs reading and never a result.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepost.functions.binding import bind
 from tidepost.sources.listing import matches
 
-BITS = 1 << 20
+BITS, BUCKET = 1 << 20, 1 << 15
+#: Signs of a text that are hashed at once; it bounds memory.
+PART_SIGNS = 1 << 20
 LEAST = 3
 #: A sign of these makes an expression more than literal parts, wild signs and quantifiers.
 STRUCTURE = set("|([{\\")
@@ -41,25 +44,43 @@ def required_parts(pattern: str, literal: bool = False) -> list[str]:
     return [p for p in (*parts, held) if len(p) >= LEAST]
 
 
-def trigrams(text: Column) -> Column:
-    """Distinct hashed trigrams of a text in lower case."""
+def trigrams(text: str) -> np.ndarray:
+    """Hashed trigrams of a text that is in lower case, with repeats."""
+    signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    packed = signs[:-2] | signs[1:-1] << np.uint64(21) | signs[2:] << np.uint64(42)
+    return packed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS.bit_length() + 1)
 
-    def of_signs(signs: Column) -> Column:
-        places = F.when(F.size(signs) >= LEAST, F.sequence(F.lit(0), F.size(signs) - LEAST))
-        return F.array_distinct(F.transform(places, lambda i: F.pmod(F.xxhash64(*(F.get(signs, i + k) for k in range(LEAST))), F.lit(BITS))))
 
-    # The list of signs is bound whole: inlined, it would be made again for every place.
-    return bind(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), ""), lambda c: c != ""), of_signs)
+def bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``file, bucket, bitmap`` of rows (file, text in lower case); rows of a file mostly come together."""
+    file, flags = None, np.zeros(BITS, bool)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows = flags.reshape(-1, BUCKET)
+        buckets = np.flatnonzero(rows.any(1))
+        packed = [np.packbits(rows[b], bitorder="little").tobytes() for b in buckets]
+        columns = [pa.array([file] * len(buckets), pa.string()), pa.array(buckets.astype(np.int64)), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["file", "bucket", "bitmap"])
+        flags[:] = False
+
+    for batch in batches:
+        for own, data in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+            if own != file:
+                yield from flush()
+                file = own
+            text = data.as_py().decode("utf-8", "replace")
+            for at in range(0, len(text) - LEAST + 1, PART_SIGNS):
+                flags[trigrams(text[at : at + PART_SIGNS + LEAST - 1])] = True
+    yield from flush()
 
 
 def write_indexed(df: DataFrame, path: str, text: str = "text") -> None:
     """``df`` as Parquet in ``path/rows`` and its index in ``path/trigrams``."""
     df.write.parquet(f"{path}/rows")
     rows = df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
-    bits = rows.select(F.col("_metadata.file_path").alias("file"), F.explode(trigrams(F.col(text))).alias("bit"))
-    bits = bits.select("file", F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("place"))
-    bitmaps = bits.groupBy("file", "bucket").agg(F.bitmap_construct_agg("place").alias("bitmap"))
-    bitmaps.write.parquet(f"{path}/trigrams")
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    found = rows.mapInArrow(bitmaps, "file string, bucket bigint, bitmap binary")
+    found.groupBy("file", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap")).write.parquet(f"{path}/trigrams")
 
 
 def _bit(bitmap: Column, place: Column) -> Column:
@@ -72,9 +93,10 @@ def files_to_read(spark: SparkSession, path: str, pattern: str, literal: bool =
     parts = required_parts(pattern, literal)
     if not parts:
         return None
-    needed = spark.createDataFrame([(p,) for p in parts], "part string").select(F.explode(trigrams(F.col("part"))).alias("bit")).distinct()
-    needed = needed.select(F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("place"))
-    wanted = needed.count()
+    lower = spark.createDataFrame([(p,) for p in parts], "part string").select(F.lower("part")).collect()
+    bits = np.unique(np.concatenate([trigrams(r[0]) for r in lower])).tolist()
+    needed = spark.createDataFrame([(b // BUCKET, b % BUCKET) for b in bits], "bucket bigint, place int")
+    wanted = len(bits)
     # a few trigrams of the expression go to all tasks
     held = spark.read.parquet(f"{path}/trigrams").join(F.broadcast(needed), "bucket")
     held = held.where(_bit(F.col("bitmap"), F.col("place")) == 1)
