@@ -103,3 +103,17 @@ def test_metrics_are_a_recount_of_predictions_that_can_be_wrong(spark):
         predicted, actual = sum(b == x for _, b in rows), sum(a == x for a, _ in rows)
         assert r["support"] == actual and confusion[x][f"Pred_{x}"] == hit
         assert r["precision"] == pytest.approx(hit / max(predicted, 1), abs=1e-4) and r["recall"] == pytest.approx(hit / max(actual, 1), abs=1e-4)
+
+
+def test_cross_validation_reads_every_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = quality(spark, 120).repartition(2).localCheckpoint()
+    noted = docs.withColumn("clean_text", F.udf(seen, "string").asNondeterministic()("clean_text"))
+    plain = classify.cross_validate(docs, 2, (0.01, 0.1), num_features=50).collect()
+    got = classify.cross_validate(noted, 2, (0.01, 0.1), num_features=50).collect()
+    assert got == plain and read.value == docs.count()
