@@ -169,3 +169,17 @@ def test_trending_sketches_bound_every_count(spark, tmp_path, size):
         if all(r["certain"] for r in rows):
             assert [(-r["n"], r["phrase"]) for r in rows] == expected
     assert size == 3 or all(r["certain"] for r in top)
+
+
+def test_listings_are_dealt_by_their_size(spark, monkeypatch, tmp_path):
+    """A file of listings, which one task writes, has no more than so many bytes of text."""
+    from tidepost.plans import registry, stream_queries
+
+    docs = [(i, "en", f"text {i} " * 20, "s") for i in range(200)]
+    spark.createDataFrame(docs, "doc_id bigint, lang string, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    path = str(tmp_path / "listing")
+    monkeypatch.setattr(stream_queries, "fresh_path", lambda *_: path)
+    monkeypatch.setattr(stream_queries, "LISTING_BYTES", 3000)
+    found = registry.QUERIES["stream_listing"](spark, str(tmp_path))
+    assert sorted(r["id"] for r in found.collect()) == sorted(str(d[0]) for d in docs)
+    assert len(spark.read.json(path).inputFiles()) >= 8

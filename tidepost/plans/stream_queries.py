@@ -16,6 +16,8 @@ from tidepost.sources.workdir import fresh_path
 from tidepost.streaming import live, rings, sinks, trending
 
 SLICES = 3
+#: Bytes of text to a file of listings, so that a task has no more however many there are.
+LISTING_BYTES = 32 << 20
 
 
 def _slices(df, ts):
@@ -216,6 +218,8 @@ def stream_trending(g: Given):
 def stream_listing(g: Given):
     """The listings of ``ingest_listing`` as a stream over several files."""
     path = fresh_path(g.spark, "listing")
-    listings_of(g).repartition(SLICES, "data").write.json(path)
-    flat = sinks.drain(listing.flatten_listing(listing.stream_listing(g.spark, path, max_files=1)), "listing")
+    size = g.documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(SLICES, -(-size // LISTING_BYTES))
+    listings_of(g).repartition(parts, "data").write.json(path)
+    flat = sinks.drain(listing.flatten_listing(listing.stream_listing(g.spark, path, max_files=-(-parts // SLICES))), "listing")
     return flat.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
