@@ -1,5 +1,7 @@
 """Bounded keyed state against the batch operators, batch by batch."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,69 @@ def test_newest_rows_of_an_entity(spark, tmp_path):
         assert sorted(got.select(*columns).collect()) == sorted(whole.select(*columns).collect())
         assert state <= 2 * 3 * (7 + 3)
     assert got.agg(F.count("*")).first()[0] == 14
+
+
+class Held:
+    """The state of one key, in place of the store."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getListState(self, *_):
+        return Held()
+
+    getValueState = getListState
+
+    def get(self):
+        return self.value or []
+
+    def exists(self):
+        return self.value is not None
+
+    def put(self, value):
+        self.value = value
+
+    update = put
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        return self.timers
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_hot_series_comes_out_in_parts_of_bounded_size():
+    many = 3 * rings.OUT_ROWS + 7
+    ids = np.random.default_rng(3).permutation(many)
+    rows = pd.DataFrame({"t": pd.to_datetime(1_000_000_000 + ids // 3, unit="s"), "k": ids, "x": (ids * 37 % 101).astype(float)})
+    ring = rings.RollingRing(["s", "t", "k", "x"], 10, 2.0, False, 1000)
+    ring.init(Held())
+    half = many // 2
+    sizes, found = [], []
+    for batch in (rows.iloc[:half], rows.iloc[half:]):
+        for out in ring.handleInputRows(("a",), (batch.iloc[i : i + 10_000] for i in range(0, len(batch), 10_000)), Held()):
+            sizes.append(len(out))
+            found.append(out[["k", "rolling_mean", "rolling_std", "version"]])
+    last = pd.concat(found).sort_values("version").drop_duplicates("k", keep="last").sort_values("k")
+    x = rows.sort_values("k")["x"]
+    assert max(sizes) <= rings.OUT_ROWS and len(last) == many
+    np.testing.assert_allclose(last["rolling_mean"], x.rolling(10, min_periods=1).mean(), atol=1e-9)
+    np.testing.assert_allclose(last["rolling_std"], x.rolling(10, min_periods=1).std().fillna(0), atol=1e-9)
+
+
+def test_rows_without_a_key_come_first_of_their_time(spark, tmp_path):
+    rows = [(i if i % 5 else None, "a", 1000 + i // 5, "", float(i)) for i in range(40)]
+    land(posts(spark, rows), tmp_path / "in")
+    run(rings.rolling_bands(stream(spark, tmp_path / "in"), value="value"), tmp_path / "out")
+    got = {r["value"]: r["rolling_mean"] for r in spark.read.parquet(f"{tmp_path}/out/rows").collect()}
+    batch = {r["value"]: r["rolling_mean"] for r in rolling.rolling_stats(posts(spark, rows), value="value").collect()}
+    assert got == pytest.approx(batch) and len(got) == 40

@@ -23,6 +23,8 @@ from tidepost.operators.rolling import BAND_WIDTH, WINDOW_ROWS
 RETENTION_MS = 30 * 86_400_000
 #: Entities are dealt to so many keys each, as one may hold a third of all rows.
 SALTS = 8
+#: Rows of bands that are made and given on at once; it bounds memory, not results.
+OUT_ROWS = 50_000
 
 
 def _micros(times: pd.Series) -> np.ndarray:
@@ -79,34 +81,53 @@ class RollingRing(_Ring):
         series, ts, name, value = self.names
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
         held, version, seen = self.held()
-        arrived = []
+        # Rows are kept as columns of numbers: time, whether there is a key, key, value.
+        parts = [
+            (
+                np.array([r[0] for r in held], np.int64), np.array([r[1] is not None for r in held], bool),
+                np.array([r[1] or 0 for r in held], np.int64), np.array([r[2] for r in held], float),
+            )
+        ]
         for part in rows:
-            arrived += zip(_micros(part[ts]).tolist(), part[name].tolist(), part[value].tolist(), strict=True)
-        arrived = [r for r in arrived if r[0] >= watermark]
+            known = part[name].notna().to_numpy()
+            columns = (_micros(part[ts]), known, part[name].where(known, 0).to_numpy(np.int64), part[value].to_numpy(float))
+            timely = columns[0] >= watermark
+            parts.append(tuple(c[timely] for c in columns))
+        arrived = sum(len(part[0]) for part in parts[1:])
         if not arrived:
             return
-        merged = sorted([*held, *arrived], key=lambda r: r[:2])
-        first = min(r[:2] for r in arrived)
-        start = 0 if seen <= 2 else next(i for i, r in enumerate(merged) if r[:2] >= first)
-        seen, version = seen + len(arrived), version + 1
-        out = self.bands(merged, start, seen)
-        out.insert(0, series, key[0])
-        out["version"] = version
-        newest = max(merged[-1][0], watermark)
-        kept = next((i for i, r in enumerate(merged) if r[0] >= watermark), len(merged))
-        self.keep(merged[max(0, kept - self.window) :], version, seen, newest // 1000)
-        yield out
-
-    def bands(self, rows: list[tuple], start: int, seen: int) -> pd.DataFrame:
-        """Bands of ``rows[start:]``; the rows before them are their frames."""
-        _, ts, name, value = self.names
-        x = np.array([r[2] for r in rows], float)
+        t, known, k, x = (np.concatenate(c) for c in zip(*parts, strict=True))
+        del parts
+        order = np.lexsort((k, known, t))
+        start = 0
+        if seen > 2:  # rows before the first that arrived, and not equal to it, are out already
+            start = int(np.argmax(order >= len(held)))
+            own = order[start]
+            while start and all(c[order[start - 1]] == c[own] for c in (t, known, k)):
+                start -= 1
+        t, known, k, x = (c[order] for c in (t, known, k, x))
+        seen, version = seen + arrived, version + 1
+        newest = max(int(t[-1]), watermark)
+        kept = max(0, int(np.searchsorted(t, watermark)) - self.window)
+        last = zip(t[kept:].tolist(), known[kept:].tolist(), k[kept:].tolist(), x[kept:].tolist(), strict=True)
+        self.keep([(a, c if b else None, d) for a, b, c, d in last], version, seen, newest // 1000)
+        for at in range(start, len(t), OUT_ROWS):
+            part = slice(at, at + OUT_ROWS)
+            out = self.bands(x, part, seen)
+            times = pd.Series(t[part].astype("datetime64[us]")).dt.tz_localize("UTC")
+            ids = pd.array(k[part], "Int64")
+            ids[~known[part]] = pd.NA
+            yield pd.DataFrame({series: key[0], ts: times, name: ids, value: x[part]} | out).assign(version=version)
+
+    def bands(self, x: np.ndarray, part: slice, seen: int) -> dict[str, np.ndarray]:
+        """Bands of the rows ``part`` of a series; the rows before them are their frames."""
         before = self.window if self.exclude_current else self.window - 1
-        padded = np.concatenate([np.full(before, np.nan), x])
-        frames = np.lib.stride_tricks.sliding_window_view(padded, before + 1)[start:]
+        front = x[max(0, part.start - before) : part.start]
+        x = x[part]
+        padded = np.concatenate([np.full(before - len(front), np.nan), front, x])
+        frames = np.lib.stride_tricks.sliding_window_view(padded, before + 1)
         frames = frames[:, :-1] if self.exclude_current else frames
         many = (~np.isnan(frames)).sum(1)
-        x = x[start:]
         mean = np.where(many > 0, np.nansum(frames, axis=1) / np.maximum(many, 1), x)
         spread = np.nansum((frames - mean[:, None]) ** 2, axis=1) / np.maximum(many - 1, 1)
         std = np.where(many > 1, np.sqrt(spread), 0.0)
@@ -114,9 +135,7 @@ class RollingRing(_Ring):
         mean, std = (x, np.zeros(len(x))) if short else (mean, std)
         up, down = mean + self.width * std, mean - self.width * std
         odd = ((x > up) | (x < down)) & (not short) & ((std > 0) | (not self.exclude_current))
-        times = pd.Series(np.array([r[0] for r in rows[start:]], "datetime64[us]")).dt.tz_localize("UTC")
-        columns = {ts: times, name: [r[1] for r in rows[start:]], value: x, "rolling_mean": mean, "rolling_std": std}
-        return pd.DataFrame(columns | {"upper_band": up, "lower_band": down, "is_anomaly": odd})
+        return {"rolling_mean": mean, "rolling_std": std, "upper_band": up, "lower_band": down, "is_anomaly": odd}
 
 
 def rolling_bands(
@@ -126,7 +145,8 @@ def rolling_bands(
 ) -> DataFrame:
     """Bands of a stream: every row once or, where others came late, in several versions.
 
-    Rows of a series pass one task of a batch, whose size the source bounds; for series that are too
+    Rows of a series pass one task of a batch, whose size the source bounds, as columns of some hundred
+    bytes a row; for series that are too
     hot for that take ``sinks.RollingBands``. Rows without a time or value do not take part.
     """
     rows = df.select(series, F.col(ts).cast("timestamp").alias(ts), F.col(key).cast("bigint").alias(key), F.col(value).cast("double").alias(value))
