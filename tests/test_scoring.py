@@ -144,3 +144,19 @@ def test_empty_lexicon(spark):
     none = words.lexicon_frame(spark).limit(0)
     assert lexicon_table.score_sentiment(df, none).first()["sentiment_score"] == 0.0
     assert lexicon_table.score_sentiment(df, none, "polarity").first()["sentiment_label"] == "Neutral"
+
+
+def test_a_lexicon_of_bounded_size_does_not_shuffle_words(spark, monkeypatch):
+    """Sent to all tasks or met by merging, the table gives the scores of its literal form, and words
+    travel without what is around them."""
+    texts = ["Not a good, but a GREAT day!", "never very useless; good", None, "", "good", "good", "nothing here"]
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "post_id bigint, text string")
+    lexicon = words.lexicon_frame(spark)
+    expected = sorted(map(str, lexicon_table.engines_long(df, lexicon, text="text").collect()))
+    monkeypatch.setattr(lexicon_table, "LITERAL_ROWS", 0)
+    for most in (200_000, 0):
+        monkeypatch.setattr(lexicon_table, "SENT_ROWS", most)
+        out = lexicon_table.engines_long(df, lexicon, text="text")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (most > 0) and "contrasted" not in plan
+        assert sorted(map(str, out.collect())) == expected

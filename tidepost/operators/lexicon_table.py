@@ -1,9 +1,10 @@
 """Lexicon engines with a caller's lexicon, a table ``token, valence, polarity, subjectivity``.
 
 A table of few rows becomes a constant of the row-local expressions in ``functions.lexicon``. A
-larger one is joined: every word of a text goes with its place and what the words around it do to
-its value, words and lexicon meet on (word, salt), and the values of a text are folded in the order
-of their places. Both ways give the same scores.
+larger one is joined: every word of a text goes with its place, and what the lexicon has for the
+places of a text comes back to it, where the words around them are looked at and the values folded
+in order. Up to ``SENT_ROWS`` rows the lexicon is sent to all tasks and no word is shuffled; beyond that
+words and lexicon meet on (word, salt). All ways give the same scores.
 """
 
 from __future__ import annotations
@@ -15,10 +16,12 @@ from tidepost import rules
 from tidepost.functions import labels, lexicon as lx
 from tidepost.functions.binding import bind
 from tidepost.operators.prepare import engine_row
-from tidepost.operators.words import salted, salted_copies
+from tidepost.operators.words import has_few_rows, salted, salted_copies
 
 #: Rows of a lexicon that becomes a constant in the plan.
 LITERAL_ROWS = 1000
+#: Rows of a lexicon that is sent to all tasks, some twenty megabytes.
+SENT_ROWS = 200_000
 
 
 def unique_lexicon(lexicon: DataFrame) -> DataFrame:
@@ -37,22 +40,27 @@ def literal_lexicon(lexicon: DataFrame, most: int | None = None) -> dict | None:
     return None if rows is None else {r[0]: tuple(r[1:]) for r in rows if "," not in r[0] and ":" not in r[0]}
 
 
-def _hits(df: DataFrame, lexicon: DataFrame, key: str, text: str, context, value) -> DataFrame:
-    """``key, th, hits``: per text the values of its lexicon words, in order.
+def _hits(df: DataFrame, lexicon: DataFrame, key: str, text: str, *values: str) -> DataFrame:
+    """``_key, _th, _hits``: per text the places of its lexicon words with their ``values``, in order.
 
     Texts that share a key are told apart by a hash, and rows that repeat give the same set.
     """
     words = lx.lexicon_words(F.coalesce(F.col(text), F.lit("")))
-    found = df.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_th"), F.inline(bind(words, context)))
-    joined = salted(found).join(salted_copies(unique_lexicon(lexicon)).hint("merge"), ["token", "_salt"])
-    places = joined.groupBy("_key", "_th").agg(F.sort_array(F.collect_set(F.struct("at", value.alias("value")))).alias("places"))
-    return places.select("_key", "_th", F.transform("places", lambda p: p["value"]).alias("_hits"))
+    found = df.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_th"), F.posexplode(words).alias("at", "token"))
+    known = unique_lexicon(lexicon).select("token", *values)
+    if has_few_rows(lexicon, SENT_ROWS):
+        joined = found.join(F.broadcast(known), "token")
+    else:
+        joined = salted(found).join(salted_copies(known).hint("merge"), ["token", "_salt"])
+    return joined.groupBy("_key", "_th").agg(F.sort_array(F.collect_set(F.struct("at", *values))).alias("_hits"))
 
 
 def _with_hits(df: DataFrame, hits: DataFrame, key: str, text: str) -> DataFrame:
+    """Adds ``_hits``, an empty list for a text without any; both sides are as many as the texts."""
     marked = df.withColumn("_mark", F.xxhash64(text))
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_mark") == F.col("_th"))
-    return marked.join(hits, same, "left").drop("_key", "_th", "_mark")
+    rows = marked.join(hits.hint("merge"), same, "left").drop("_key", "_th", "_mark")
+    return rows.withColumn("_hits", F.coalesce("_hits", F.array().cast(hits.schema["_hits"].dataType)))
 
 
 def with_valence(df: DataFrame, lexicon: DataFrame | None = None, key: str = "post_id", text: str = "clean_text") -> DataFrame:
@@ -65,22 +73,15 @@ def with_valence(df: DataFrame, lexicon: DataFrame | None = None, key: str = "po
     if known is not None:
         return df.withColumn("valence", lx.valence_shares(F.col(text), known))
 
-    def context(words: Column) -> Column:
-        def place(contrast: Column) -> Column:
-            def one(word: Column, i: Column) -> Column:
-                shift, turned, contrasted = lx.valence_context(words, i, contrast)
-                parts = {"token": word, "at": i, "shift": shift, "turned": turned, "contrasted": contrasted}
-                return F.struct(*(c.alias(name) for name, c in parts.items()))
+    def shares(words: Column, hits: Column) -> Column:
+        def adjusted(contrast: Column) -> Column:
+            return F.transform(hits, lambda h: lx.adjusted_valence(h["valence"], *lx.valence_context(words, h["at"], contrast)))
 
-            return F.transform(words, one)
+        return lx.shares_of(bind(lx.contrast_place(words), adjusted), F.size(words) - F.size(hits), F.col(text))
 
-        return bind(lx.contrast_place(words), place)
-
-    value = lx.adjusted_valence(F.col("valence"), F.col("shift"), F.col("turned"), F.col("contrasted"))
-    rows = _with_hits(df, _hits(df, lexicon, key, text, context, value), key, text)
-    hits = F.coalesce("_hits", F.array().cast("array<double>"))
-    silent = F.size(lx.lexicon_words(F.coalesce(F.col(text), F.lit("")))) - F.size(hits)
-    return rows.withColumn("valence", lx.shares_of(hits, silent, F.col(text))).drop("_hits")
+    rows = _with_hits(df, _hits(df, lexicon, key, text, "valence"), key, text)
+    words = lx.lexicon_words(F.coalesce(F.col(text), F.lit("")))
+    return rows.withColumn("valence", bind(words, lambda ws: shares(ws, F.col("_hits")))).drop("_hits")
 
 
 def with_polarity(df: DataFrame, lexicon: DataFrame | None = None, key: str = "post_id", text: str = "clean_text") -> DataFrame:
@@ -89,18 +90,16 @@ def with_polarity(df: DataFrame, lexicon: DataFrame | None = None, key: str = "p
     if known is not None:
         return df.withColumn("polarity", lx.polarity_parts(F.col(text), known))
 
-    def context(words: Column) -> Column:
-        def one(word: Column, i: Column) -> Column:
-            degree, turned = lx.polarity_context(words, i)
-            return F.struct(word.alias("token"), i.alias("at"), degree.alias("degree"), turned.alias("turned"))
+    def read(words: Column) -> Column:
+        def one(h: Column) -> Column:
+            p = lx.adjusted_polarity(h["polarity"], *lx.polarity_context(words, h["at"]))
+            return F.struct(p.alias("p"), h["subjectivity"].alias("s"))
 
-        return F.transform(words, one)
+        return F.transform("_hits", one)
 
-    p = lx.adjusted_polarity(F.col("polarity"), F.col("degree"), F.col("turned"))
-    value = F.struct(p.alias("p"), F.col("subjectivity").alias("s"))
-    rows = _with_hits(df, _hits(df, lexicon, key, text, context, value), key, text)
-    hits = F.coalesce("_hits", F.array().cast("array<struct<p: double, s: double>>"))
-    return rows.withColumn("polarity", lx.means_of(hits)).drop("_hits")
+    rows = _with_hits(df, _hits(df, lexicon, key, text, "polarity", "subjectivity"), key, text)
+    words = lx.lexicon_words(F.coalesce(F.col(text), F.lit("")))
+    return rows.withColumn("polarity", bind(words, lambda ws: lx.means_of(read(ws)))).drop("_hits")
 
 
 def score_sentiment(
