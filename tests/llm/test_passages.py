@@ -1,6 +1,6 @@
 """Passages of fifty words that repeat, glued between other words."""
 
-from tidepost.llm import passages, substrings
+from tidepost.llm import common, passages, substrings
 from tests.llm.tables import no_documents, odd_documents, odd_texts, prose, words
 
 
@@ -34,3 +34,15 @@ def test_odd_rows(spark):
     size = {i: len((t or "").encode()) for i, t in odd_texts()}
     assert rows[(7, 0)] == rows[(8, 0)] == rows[(10, 1)] == 0 and rows[(6, size[6])] > 0 and rows[(5, size[5])] == 0
     assert passages.later_passages(no_documents(spark)).count() == 0
+
+
+def test_places_are_small_rows(spark):
+    """A place is one number, and tables that stay on disk are packed."""
+    text = "  " + " ".join(words(1, 40)) + " " + "ñ" * 90_000
+    found = passages.places(spark.createDataFrame([(3, text)], "doc_id bigint, text string")).collect()
+    data = text.encode()
+    spans = [(r["span"] >> passages.LENGTH_BITS, r["span"] & (1 << passages.LENGTH_BITS) - 1) for r in found]
+    assert found[0].asDict().keys() == {"h", "doc_id", "th", "span"} and spans
+    assert all(len(data[a : a + n].split()) == passages.WORDS and not data[a : a + 1].isspace() for a, n in spans)
+    kept = common.cut(spark.range(10), "kept")
+    assert kept.count() == 10 and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())

@@ -19,7 +19,9 @@ from tidepost.llm.common import cut, in_slices, map_rows, text_hash
 from tidepost.llm.hashing import WHITE_SPACE, ngrams, words_by_text
 
 WORDS = 24
-NAMES = ["h", "doc_id", "th", "start", "end"]
+NAMES = ["h", "doc_id", "th", "span"]
+#: A span is one number, its start and below that its length in so many bits: rows are what the disk holds.
+LENGTH_BITS = 31
 
 
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -40,7 +42,7 @@ def taken(grams: np.ndarray) -> np.ndarray:
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """``h, doc_id, th, start, end``: the sampled n-grams of each document and their bytes."""
+    """``h, doc_id, th, span``: the sampled n-grams of each document and their bytes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,9 +58,10 @@ def places(docs: DataFrame) -> DataFrame:
                     starts, ends = word_bounds(text) if len(at) else (at, at)
                     found.append((grams[a + at].view(np.int64), starts[at], ends[at + WORDS - 1] if len(at) else at))
                 owner = pa.array(np.repeat(np.arange(low, high), [len(f[0]) for f in found]))
-                columns = [pa.array(np.concatenate([f[k] for f in found]).astype(np.int64)) for k in range(3)]
+                grams, starts, ends = (np.concatenate([f[k] for f in found]).astype(np.int64) for k in range(3))
                 ids = [batch.column(k).take(owner) for k in (0, 2)]
-                yield pa.RecordBatch.from_arrays([columns[0], *ids, *columns[1:]], NAMES)
+                spans = starts << LENGTH_BITS | ends - starts
+                yield pa.RecordBatch.from_arrays([pa.array(grams), *ids, pa.array(spans)], NAMES)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_hash().alias("th"))
     return map_rows(rows, ", ".join(f"{c} bigint" for c in NAMES), work)
@@ -67,11 +70,15 @@ def places(docs: DataFrame) -> DataFrame:
 def later_passages(docs: DataFrame) -> DataFrame:
     """``doc_id, th, passages``: byte ranges of each document that an earlier place has too.
 
-    First places are found by partial aggregation; n-grams that occur once never meet the join.
+    Hashes alone are counted; n-grams that occur once go before first places are found, by partial
+    aggregation, so that places travel once.
     """
     found = cut(places(docs), "passages")
-    place = F.struct("doc_id", "th", "start")
-    repeated = found.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1")
-    repeated = cut(repeated.select("h", "first"), "repeated-passages")
-    later = found.join(repeated.hint("merge"), "h").where(~place.eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "end")).alias("passages"))
+    again = cut(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "repeated-ngrams")
+    found = cut(found.join(again.hint("merge"), "h", "left_semi"), "repeated-passages")
+    place = F.struct("doc_id", "th", "span")
+    first = cut(found.groupBy("h").agg(F.min(place).alias("first")), "first-passages")
+    later = found.join(first.hint("merge"), "h").where(~place.eqNullSafe(F.col("first")))
+    start = F.shiftright("span", LENGTH_BITS)
+    passage = F.struct(start.alias("start"), (start + F.col("span").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1))).alias("end"))
+    return later.groupBy("doc_id", "th").agg(F.collect_set(passage).alias("passages"))
